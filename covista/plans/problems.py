@@ -1,0 +1,25 @@
+"""Queries of the general training-data operators (snapshots, heavy keys)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from covista.operators.heavykeys import heavy_keys, key_profile
+from covista.operators.snapshots import snapshot_changes
+from covista.sources.tables import table
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return snapshot_changes(table(spark, d, "sitemap_lastmod_state"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return heavy_keys(table(spark, d, "person_eligible_images"), "person_id", 3, 100).select("person_id")
+
+
+def p4_person_images(spark: SparkSession, d: str) -> DataFrame:
+    return key_profile(table(spark, d, "person_eligible_images"))
+
+
+def queries():
+    return {f.__name__: f for f in (p3_found, p4_found, p4_person_images)}
