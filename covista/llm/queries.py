@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covista.llm import canonical, leaks, overlap, setpairs, together, tokens
+from covista.llm import canonical, leaks, names, overlap, setpairs, subjects, together, tokens
 from covista.sources.tables import table
 
 
@@ -27,6 +27,10 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("item_a").alias("person_id_a"), F.col("item_b").alias("person_id_b"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.same_name_pairs(table(spark, d, "people"), table(spark, d, "given_name_forms"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, d, "documents"))
 
@@ -35,5 +39,9 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subjects"))
+
+
 def queries():
-    return {f.__name__: f for f in (p1_found, p2_found, p5_found, p6_found, p8_ids, p9_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p5_found, p6_found, p7_found, p8_ids, p9_found, p10_found)}
