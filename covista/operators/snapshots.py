@@ -72,15 +72,20 @@ def held_shards(df: DataFrame) -> DataFrame:
     return tie.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("snapshot_no", "version", "entries")
 
 
-def snapshot_entries(df: DataFrame) -> DataFrame:
-    """(snapshot_no, entry_key, fingerprint, lastmod) of the deliveries that hold, in the form of version 2."""
+def snapshot_entries(df: DataFrame, raw: bool = False, version: int | None = None) -> DataFrame:
+    """(snapshot_no, entry_key, fingerprint, lastmod) of the deliveries that hold, in the form of version 2.
+
+    ``raw`` keeps lastmods as written; ``version`` takes the shards of one version only (null counts as 2).
+    """
     e = held_shards(df).select("snapshot_no", F.coalesce("version", F.lit(2)).alias("version"),
                                F.explode("entries").alias("k", "v"))
+    if version is not None:
+        e = e.where(F.col("version") == version)
     return e.select(
         "snapshot_no",
         entry_key(F.col("k"), F.col("version")).alias("entry_key"),
         entry_fingerprint(F.col("k"), F.col("v.fingerprint"), F.col("version")).alias("fingerprint"),
-        lastmod_date(F.col("v.lastmod")).alias("lastmod"),
+        (F.col("v.lastmod") if raw else lastmod_date(F.col("v.lastmod"))).alias("lastmod"),
     )
 
 
