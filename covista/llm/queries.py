@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covista.llm import canonical, leaks, names, overlap, setpairs, subjects, together, tokens
+from covista.plans import catalogue
 from covista.sources.tables import table
 
 
@@ -45,3 +46,19 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 def queries():
     return {f.__name__: f for f in (p1_found, p2_found, p5_found, p6_found, p7_found, p8_ids, p9_found, p10_found)}
+
+
+_M = catalogue.M
+_PAIRS = f"""{_M}, n as (select person_id p, count(*) n from m group by 1),
+pr as (select a.person_id a, b.person_id b, count(*) c from m a join m b on a.image_name = b.image_name and a.person_id < b.person_id group by 1, 2),
+pn as (select a person_id_a, b person_id_b, c, x.n na, y.n nb from pr join n x on x.p = a join n y on y.p = b)"""
+
+
+def oracle_sql() -> dict[str, str]:
+    """SQL where it says the same in reasonable time; the other queries are tested against brute force."""
+    return {
+        "p2_found": f"with {_PAIRS} select person_id_a, person_id_b from pn where na >= 5 and nb >= 5 and 5 * c >= 3 * (na + nb - c)",
+        "p5_found": f"with {_PAIRS} select person_id_a, person_id_b from pn where 5 * c >= 2 * least(na, nb) "
+        "and person_id_a in (select person_id from compare_list) and person_id_b in (select person_id from compare_list)",
+        "p6_found": f"with {_PAIRS} select person_id_a, person_id_b from pn where c >= 10 and c * (select count(distinct image_name) from m) >= 3 * na * nb",
+    }
