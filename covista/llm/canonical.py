@@ -64,26 +64,26 @@ def _stable(c: str) -> bool:
     )
 
 
-@lru_cache(maxsize=1)
-def _unstable_run() -> re.Pattern:
-    """Runs of unstable characters with the character before them (which a combining mark may join)."""
+@lru_cache(maxsize=2)
+def _unstable_run(end: int) -> re.Pattern:
+    """Runs of unstable characters below ``end``: of the basic plane alone, a set is one table lookup a character."""
     ranges, start = [], None
-    for cp in range(0x80, 0xE0201):
-        bad = not any(a <= cp <= b for a, b in STABLE_BLOCKS) and not _stable(chr(cp))
+    for cp in range(0x80, end + 1):
+        bad = cp < end and not any(a <= cp <= b for a, b in STABLE_BLOCKS) and not _stable(chr(cp))
         if bad and start is None:
             start = cp
         elif not bad and start is not None:
             ranges.append((start, cp - 1))
             start = None
     inside = "".join(re.escape(chr(a)) + ("-" + re.escape(chr(b)) if b > a else "") for a, b in ranges)
-    return re.compile(f"[^{inside}]?[{inside}]+")
+    return re.compile(f"[{inside}]+")
 
 
 _TABLE = {ord(k): v for k, v in LOOK_ALIKES.items()}
 
 
-def _segment(m: re.Match) -> str:
-    s = "".join(c for c in m.group() if not _invisible(c))
+def _segment(run: str) -> str:
+    s = "".join(c for c in run if not _invisible(c))
     s = unicodedata.normalize("NFKD", s).translate(_TABLE)
     return unicodedata.normalize("NFC", "".join(" " if c.isspace() else c for c in s))
 
@@ -92,7 +92,13 @@ def canonical(text: str) -> str:
     """``text`` in the one form that all texts of the same look share. Line breaks and tabs (ASCII) stay."""
     if text.isascii():
         return text
-    return _unstable_run().sub(_segment, text)
+    out, done = [], 0
+    for m in _unstable_run(0x10000 if max(text) < "\U00010000" else 0xE0200).finditer(text):
+        # boundary context: the stable character before a run, which a combining mark may join
+        start = max(done, m.start() - 1)
+        out += (text[done:start], _segment(text[start : m.end()]))
+        done = m.end()
+    return "".join(out) + text[done:] if out else text
 
 
 def look(text: str) -> str:
