@@ -32,4 +32,4 @@ def network_membership(pei: DataFrame, people: DataFrame) -> DataFrame:
 def without_items_of(members: DataFrame, entities: DataFrame) -> DataFrame:
     """Memberships of items that hold none of the given entities."""
     items = members.join(entities.select("person_id").distinct(), "person_id", "left_semi").select("image_name").distinct()
-    return members.join(items, "image_name", "left_anti")
+    return members.join(items, "image_name", "left_anti").select("person_id", "image_name")
