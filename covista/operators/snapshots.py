@@ -19,23 +19,32 @@ PEOPLE_PREFIX = "/search/people/"
 BROADCAST_SNAPSHOTS = 100_000
 
 
+PATH_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
+
+
+def _slashed(path: Column) -> Column:
+    return F.when(path == "", "/").when(path.endswith("/"), path).otherwise(F.concat(path, F.lit("/")))
+
+
 def url_path(url: Column) -> Column:
     """Path of a URL, ``/`` when empty, always with a closing slash."""
-    path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
-    return F.when(path == "", "/").when(path.endswith("/"), path).otherwise(F.concat(path, F.lit("/")))
+    return _slashed(F.regexp_extract(url, PATH_PATTERN, 1))
+
 
+def entry_key(key: Column, version: Column, path: Column | None = None) -> Column:
+    """Key in the form of version 2: a page's slug or a core path. Keys of version 1 are URLs.
 
-def entry_key(key: Column, version: Column) -> Column:
-    """Key in the form of version 2: a page's slug or a core path. Keys of version 1 are URLs."""
-    path = url_path(key)
+    path: ``url_path(key)`` where it is already a column.
+    """
+    path = url_path(key) if path is None else path
     page = path.startswith(PEOPLE_PREFIX) & (F.length(path) > len(PEOPLE_PREFIX))
     slug = path.substr(F.lit(len(PEOPLE_PREFIX) + 1), F.length(path) - len(PEOPLE_PREFIX) - 1)
     return F.when(version == 1, F.when(page, slug).otherwise(path)).otherwise(key)
 
 
-def entry_fingerprint(key: Column, fingerprint: Column, version: Column) -> Column:
+def entry_fingerprint(key: Column, fingerprint: Column, version: Column, path: Column | None = None) -> Column:
     """Fingerprint in the form of version 2: of a version-1 page, what follows the last ``|``."""
-    path = url_path(key)
+    path = url_path(key) if path is None else path
     page = path.startswith(PEOPLE_PREFIX) & (F.length(path) > len(PEOPLE_PREFIX))
     return F.when((version == 1) & page, F.substring_index(fingerprint, "|", -1)).otherwise(fingerprint)
 
@@ -72,6 +81,12 @@ def held_shards(df: DataFrame) -> DataFrame:
     return tie.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("snapshot_no", "version", "entries")
 
 
+def _with_path(e: DataFrame) -> DataFrame:
+    """e (k, version, ...) with the path of version-1 keys as a column, so that its pattern is matched once a row."""
+    raw = F.regexp_extract("k", PATH_PATTERN, 1)
+    return e.withColumn("_raw", F.when(F.col("version") == 1, raw)).withColumn("_path", _slashed(F.col("_raw")))
+
+
 def snapshot_entries(df: DataFrame, raw: bool = False, version: int | None = None) -> DataFrame:
     """(snapshot_no, entry_key, fingerprint, lastmod) of the deliveries that hold, in the form of version 2.
 
@@ -81,10 +96,10 @@ def snapshot_entries(df: DataFrame, raw: bool = False, version: int | None = Non
                                F.explode("entries").alias("k", "v"))
     if version is not None:
         e = e.where(F.col("version") == version)
-    return e.select(
+    return _with_path(e).select(
         "snapshot_no",
-        entry_key(F.col("k"), F.col("version")).alias("entry_key"),
-        entry_fingerprint(F.col("k"), F.col("v.fingerprint"), F.col("version")).alias("fingerprint"),
+        entry_key(F.col("k"), F.col("version"), F.col("_path")).alias("entry_key"),
+        entry_fingerprint(F.col("k"), F.col("v.fingerprint"), F.col("version"), F.col("_path")).alias("fingerprint"),
         (F.col("v.lastmod") if raw else lastmod_date(F.col("v.lastmod"))).alias("lastmod"),
     )
 
@@ -120,10 +135,11 @@ def snapshot_changes(df: DataFrame) -> DataFrame:
     held = _with_next(held_shards(df))
     e = held.select("snapshot_no", "_next", "_first", F.coalesce("version", F.lit(2)).alias("version"),
                     F.explode("entries").alias("k", "v"))
+    e = _with_path(e)
     e = e.select(
         "snapshot_no", "_next", "_first",
-        entry_key(F.col("k"), F.col("version")).alias("entry_key"),
-        F.xxhash64(entry_fingerprint(F.col("k"), F.col("v.fingerprint"), F.col("version")),
+        entry_key(F.col("k"), F.col("version"), F.col("_path")).alias("entry_key"),
+        F.xxhash64(entry_fingerprint(F.col("k"), F.col("v.fingerprint"), F.col("version"), F.col("_path")),
                    lastmod_date(F.col("v.lastmod"))).alias("h"),
     )
     sides = F.array(
