@@ -96,6 +96,8 @@ def canonical(text: str) -> str:
     for m in _unstable_run(0x10000 if max(text) < "\U00010000" else 0xE0200).finditer(text):
         # boundary context: the stable character before a run, which a combining mark may join
         start = max(done, m.start() - 1)
+        if start < m.start() and unicodedata.decomposition(text[start]).startswith(VISIBLE_KINDS):
+            start = m.start()
         out += (text[done:start], _segment(text[start : m.end()]))
         done = m.end()
     return "".join(out) + text[done:] if out else text
