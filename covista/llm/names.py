@@ -40,7 +40,7 @@ ORGANISATION = {
     "camera": "camera", "film": "film", "films": "film", "gallery": "gallery", "gall": "gallery", "group": "group",
     "grp": "group", "house": "house", "hse": "house", "imaging": "imaging", "img": "imaging", "international": "international",
     "intl": "international", "int": "international", "news": "news", "photo": "photo", "picture": "picture", "pic": "picture",
-    "press": "press", "print": "print", "society": "society", "soc": "society", "studio": "studio", "studios": "studio",
+    "press": "press", "ph": "photo", "print": "print", "society": "society", "soc": "society", "studio": "studio", "studios": "studio",
     "works": "works", "wks": "works",
 }
 # A Cyrillic letter in Latin letters.
@@ -56,7 +56,9 @@ QGRAM = 3
 BAND_ROWS = 3
 TARGET_SIMILARITY, TARGET_RECALL = 0.42, 0.985
 #: Monge-Elkan similarity that makes two names one.
-LEAST_SIMILARITY = 0.86
+LEAST_SIMILARITY = 0.8
+#: A vague name joins a person only if no other person fits it within this margin.
+VAGUE_MARGIN = 0.02
 #: The list of short forms is broadcast up to this many rows.
 MAX_FORMS = 500_000
 MAX_STAR_ROUNDS = 20
@@ -133,16 +135,21 @@ class Parser:
     """Parses names against a list of given names and their known short forms."""
 
     def __init__(self, forms: list[tuple[str, str]]):
-        self.given = {sound(latin(g)) for _, g in forms}
+        #: given names by sound, as written in Latin letters
+        self.given = {sound(latin(g)): latin(g) for _, g in forms}
+        written = set(self.given.values())
         self.short: dict[str, set[str]] = defaultdict(set)
         for s, g in forms:
-            if sound(latin(s)) not in self.given:
-                self.short[sound(latin(s))].add(sound(latin(g)))
-        self.written = {latin(g): sound(latin(g)) for _, g in forms}
+            if latin(s) not in written:
+                self.short[latin(s)].add(self.given[sound(latin(g))])
+        self.short_sound: dict[str, set[str]] = defaultdict(set)
+        for s, gs in self.short.items():
+            self.short_sound[sound(s)] |= gs
         self.by_shape: dict[str, set[str]] = defaultdict(set)
-        for g in self.given | self.written.keys():
-            for k in self._deletions(g):
-                self.by_shape[k].add(g)
+        for k, g in self.given.items():
+            for x in {k, g}:
+                for shape in self._deletions(x):
+                    self.by_shape[shape].add(x)
         self._near: dict[str, frozenset] = {}
 
     @staticmethod
@@ -152,58 +159,60 @@ class Parser:
             yield w[:i] + w[i + 1 :]
 
     def near(self, w: str) -> frozenset:
-        """Given names that a word may stand for by one slip, in its letters or in its sounds."""
-        return self.near_given(sound(w)) or self.near_given(w)
+        """Given names that a written word may stand for by one slip, in its sounds or its letters (two slips in a long word)."""
+        return self._near_shape(sound(w)) or self._near_shape(w)
 
-    def near_given(self, w: str) -> frozenset:
-        """Given names that a word may stand for by one slip of the pen (two for long words)."""
+    def _near_shape(self, w: str) -> frozenset:
         if w in self._near:
             return self._near[w]
         out: set[str] = set()
         if w in self.given:
-            out = {w}
+            out = {self.given[w]}
         elif len(w) >= 4:
             cand = set().union(*(self.by_shape.get(k, ()) for k in self._deletions(w)))
             out = {g for g in cand if edits(w, g, 1) <= 1}
             if not out and len(w) >= 7:
                 out = {g for g in cand if edits(w, g, 2) <= 2}
-            out = {self.written.get(g, g) for g in out}
+            out = {self.given.get(g, g) for g in out}
         if len(self._near) < 500_000:
             self._near[w] = frozenset(out)
         return frozenset(out)
 
-    def by_rule(self, w: str) -> set[str]:
+    def known_short(self, w: str) -> set[str]:
+        return self.short.get(w) or self.short_sound.get(sound(w)) or set()
+
+    def by_rule(self, w: str, endings: bool = True) -> set[str]:
         """Given names an unlisted short form may stand for: a beginning, or a part with a usual ending."""
-        out = {g for t, g in self.written.items() if len(w) >= 3 and t.startswith(w)}
-        w = sound(w)
-        out |= {g for g in self.given if len(w) >= 3 and g.startswith(w)}
-        for e in SHORT_ENDINGS:
-            e = sound(e)
+        out = {g for g in self.given.values() if len(w) >= 3 and g.startswith(w)}
+        for e in SHORT_ENDINGS if endings else ():
             stem = w[: -len(e)]
-            if w.endswith(e) and len(stem) >= 2:
-                out |= {g for g in self.given if g.startswith(stem)} if len(stem) >= 3 else set()
-                if e in ("ko", "io", "si"):
-                    out |= {g for g in self.given if stem in g}
+            if w.endswith(e) and len(stem) >= 3:
+                out |= {g for g in self.given.values() if g.startswith(stem)}
+            if w.endswith(e) and len(stem) >= 2 and e in ("ko", "io", "sy"):
+                out |= {g for g in self.given.values() if stem in g}
         return out
 
     def _words(self, name: str) -> tuple[list[str], int]:
         """Words of a name, split where a space is missing; and how many stand before a comma (0: none)."""
         text = look(name)
-        text = re.sub(r"(?<=[^\W\d_A-ZА-Я])(?=[A-ZА-ЯŠŽŘŇÀ-ÖØ-Þ][^\W\d_A-Z])", " ", text)
+        text = re.sub(r"(?<=[^\W\d_A-ZА-Я])(?=[A-ZА-ЯŠŽŘŇÀ-ÖØ-Þ][^\W\d_A-Z])|(?<=\b[A-ZА-Я])(?=[A-ZА-Я][a-zа-я])", " ", text)
         before, among = 0, cyrillic(text)
         out: list[str] = []
         for c, part in enumerate(re.split(r",", text)):
             for chunk in re.split(r"[^\w\-'‐‑]+", part):
                 pieces = [latin(p, among) for p in re.split(r"[-‐‑']", chunk) if p]
-                if len(pieces) > 1:
-                    # a short second part belongs to the word (a family name's addition); a given name does not
-                    if self.near(pieces[0]) and len(pieces[1]) > 4:
-                        pieces = [pieces[0], "".join(pieces[1:])]
+                joined: list[str] = []
+                for p in pieces:
+                    # a short second part belongs to the word before it (an addition to a family name)
+                    if joined and len(p) <= 4:
+                        joined[-1] += p
                     else:
-                        pieces = ["".join(pieces)]
+                        joined.append(p)
+                pieces = joined
                 out += [p for p in pieces if p]
             if c == 0 and "," in text:
                 before = len(out)
+        self.cyrillic = among
         return out, before
 
     def parse(self, name: str | None) -> tuple | None:
@@ -217,10 +226,9 @@ class Parser:
         org, legal = self._organisation(words)
         if org:
             return org
-        words2 = [w for i, w in enumerate(words) if w not in TITLES and w != "the"]
-        dropped_before = sum(1 for w in words[:before] if w in TITLES or w == "the")
-        before = max(0, before - dropped_before)
-        words = words2
+        title = lambda w: w in TITLES or w == "the" or (3 < len(w) < 6 and edits(w, "prof", 1) <= 1)
+        before -= sum(map(title, words[:before]))
+        words = [w for w in words if not title(w)]
         if not words:
             return None
         return self._person(words, before)
@@ -239,60 +247,53 @@ class Parser:
             body.append(k or w)
         if body and (marks >= 2 or (marks and legal) or (legal and len(body) >= 2 and words[-1] in LEGAL)
                      or any(w in ORGANISATION and len(w) >= 6 for w in body)):
-            return ("org", sound("".join(body)), (), ""), legal
+            return ("org", "".join(body), (), ""), legal
         return None, legal
 
     def _person(self, words: list[str], before: int) -> tuple:
-        sounds = [sound(w) for w in words]
         kinds = []
-        for w, s in zip(words, sounds):
+        for w in words:
             if len(w) == 1:
                 kinds.append("i")
-            elif s in self.given:
+            elif sound(w) in self.given:
                 kinds.append("g")
-            elif s in self.short:
+            elif self.known_short(w):
                 kinds.append("s")
-            elif len(s) >= 4 and self.near(w):
+            elif len(w) >= 4 and self.near(w):
                 kinds.append("n")
             else:
                 kinds.append("x")
         # the family name: before a comma, else the longest unknown word, else the last word
         unknown = [i for i, k in enumerate(kinds) if k == "x"]
         if before and before < len(words):
-            fam = max(range(before), key=lambda i: (kinds[i] == "x", len(sounds[i])))
+            fam = max(range(before), key=lambda i: (kinds[i] == "x", len(words[i])))
         elif unknown:
-            fam = max(unknown, key=lambda i: (len(sounds[i]), i))
-            if len(sounds[fam]) <= 4 and "n" in kinds:
-                fam = max((i for i, k in enumerate(kinds) if k == "n"), key=lambda i: len(sounds[i]))
+            fam = max(unknown, key=lambda i: (len(words[i]), i))
+            if len(words[fam]) <= 4 and "n" in kinds:
+                fam = max((i for i, k in enumerate(kinds) if k == "n"), key=lambda i: len(words[i]))
         else:
-            full = [i for i, k in enumerate(kinds) if k != "i"]
-            near = [i for i in full if kinds[i] == "n"]
-            fam = (near or full or [len(words) - 1])[-1]
-            if len(words) == 1:
-                s = sounds[0]
-                for g in self.given:  # a given and a family name written as one word
-                    if len(g) >= 4 and s.startswith(g) and len(s) - len(g) >= 5:
-                        return ("person", s[len(g):], (g,), "")
-        core = sounds[fam]
+            full_words = [i for i, k in enumerate(kinds) if k != "i"]
+            fam = ([i for i in full_words if kinds[i] == "n"] or full_words or [len(words) - 1])[-1]
+        core = words[fam]
         if len(words) == 1:
-            for g in sorted(self.given, key=len, reverse=True):
+            # a given and a family name written as one word
+            for g in sorted(self.given.values(), key=len, reverse=True):
                 if len(g) >= 4 and core.startswith(g) and len(core) - len(g) >= 5:
                     return ("person", core[len(g):], (g,), "")
         givens = []
-        for i, (w, s, k) in enumerate(zip(words, sounds, kinds)):
+        for i, (w, k) in enumerate(zip(words, kinds)):
             if i == fam:
                 continue
             if k == "i":
-                givens.append("t.|f." if w == "t" else s[0] + ".")
+                givens.append("f.|t." if w == "f" and self.cyrillic else w + ".")
             elif k == "g":
-                givens.append(s)
+                givens.append(self.given[sound(w)])
             elif k == "s":
-                givens.append("|".join(sorted(self.short[s] | {s + "~"})))
+                givens.append("|".join(sorted(self.known_short(w) | self.by_rule(w, endings=False) | {w + "~"})))
             elif k == "n":
                 givens.append("|".join(sorted(self.near(w))))
             else:
-                rule = self.by_rule(w)
-                givens.append("|".join(sorted(rule | {s + "~"})))
+                givens.append("|".join(sorted(self.by_rule(w) | {w + "~"})))
         return ("person", core, tuple(givens), "")
 
 
@@ -321,8 +322,9 @@ def given_similarity(a: str, b: str) -> float:
                 s = 0.9 if x[0] == y[0] else 0.0
             elif x.endswith("~") or y.endswith("~"):
                 u, v = x.rstrip("~"), y.rstrip("~")
-                d = edits(u, v, 1)
-                s = 1 - d / max(len(u), len(v)) if d <= 1 and min(len(u), len(v)) >= 3 else 0.0
+                most = 2 if min(len(u), len(v)) >= 7 else 1 if min(len(u), len(v)) >= 3 else 0
+                d = min(edits(u, v, most), edits(sound(u), sound(v), most))
+                s = 1 - d / max(len(u), len(v)) if d <= most else 0.0
             else:
                 s = 0.0  # two known given names
             best = max(best, s)
@@ -330,10 +332,13 @@ def given_similarity(a: str, b: str) -> float:
 
 
 def core_distance(a: str, b: str) -> int:
-    """Edits between two cores if they may be one, else 99. Longer cores may differ more."""
-    n = min(len(a), len(b))
+    """Edits between two cores, in their sounds or their letters, if they may be one, else 99. Longer cores may differ more."""
+    x, y = sound(a), sound(b)
+    n = min(len(x), len(y))
     most = 0 if n < 4 else 1 if n < 7 else 2 if n < 14 else 3
-    d = edits(a, b, most)
+    d = edits(x, y, most)
+    if d and (a != x or b != y):
+        d = min(d, edits(a, b, most))
     return d if d <= most else 99
 
 
@@ -355,10 +360,12 @@ def name_similarity(kind: str, core_a: str, givens_a: tuple, core_b: str, givens
     known = bool(full(givens_a) and full(givens_b))
     parts = [first]
     for x, y in zip(givens_a[1:], givens_b[1:]):
-        # a middle initial is typed in or left out freely; beside a vague first name it must fit
-        if not (known and (x.endswith(".") or y.endswith("."))):
-            parts.append(given_similarity(x, y))
-    if min(parts) < 0.75:
+        # middle initials are typed in or left out freely; only beside a bare first initial must one fit a written name
+        one = x.endswith(".") + y.endswith(".")
+        if one == 2 and x != y or one == 1 and known:
+            continue
+        parts.append(given_similarity(x, y))
+    if min(parts) < 0.7:
         # first and middle name may have changed places if both are there in full
         if not (len(givens_a) == len(givens_b) == 2 and given_similarity(givens_a[0], givens_b[1]) >= 1
                 and given_similarity(givens_a[1], givens_b[0]) >= 1):
@@ -366,7 +373,7 @@ def name_similarity(kind: str, core_a: str, givens_a: tuple, core_b: str, givens
         parts = [1.0, 1.0]
     if (parts[0] < 1 or not known) and d > (1 if len(core_a) < 9 else 2):
         return 0.0
-    return (2 * s_core + sum(parts)) / (2 + len(parts))
+    return (2 * s_core + sum(parts)) / (2 + len(parts)) + 0.05 * (len(parts) - 1)
 
 
 # --- Spark ---------------------------------------------------------------------------------------------------------
@@ -406,14 +413,14 @@ def parsed_names(people: DataFrame, forms: DataFrame) -> DataFrame:
 
 
 def _bands(batches):
-    """Cores to (core, band hash) over padded q-grams."""
+    """Cores to (core, its sound, band hash) over padded q-grams of the sound."""
     bands = bands_for()
     rng = np.random.default_rng(7)
     mul = rng.integers(1, 2**62, bands * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     for b in batches:
-        cores, keys = [], []
+        cores, sounds, keys = [], [], []
         for core in b.column(0).to_pylist():
-            t = "^" * (QGRAM - 1) + core + "$" * (QGRAM - 1)
+            t = "^" * (QGRAM - 1) + sound(core) + "$" * (QGRAM - 1)
             grams = {t[i : i + QGRAM] for i in range(len(t) - QGRAM + 1)}
             h = np.array([int.from_bytes(g.encode("utf-8", "surrogatepass")[:8].ljust(8, b"\0"), "little") for g in grams], np.uint64)
             h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
@@ -426,20 +433,21 @@ def _bands(batches):
                 k ^= k >> np.uint64(30)
             k ^= np.arange(bands, dtype=np.uint64) * np.uint64(0x94D049BB133111EB)
             cores += [core] * bands
+            sounds += [sound(core)] * bands
             keys.append(k.view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cores, pa.string()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))], names=["core", "band"])
+            [pa.array(cores, pa.string()), pa.array(sounds, pa.string()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))],
+            names=["core", "snd", "band"])
 
 
 def core_links(cores: DataFrame) -> DataFrame:
     """(core_a, core_b), core_a < core_b: different spellings of a core within the allowed edits."""
-    bands = cores.select("core").mapInArrow(_bands, "core string, band long")
+    bands = cores.select("core").mapInArrow(_bands, "core string, snd string, band long")
     a, b = bands.alias("a"), bands.alias("b")
-    met = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.core") < F.col("b.core"))
-                 & (F.abs(F.length("a.core") - F.length("b.core")) <= 3)).select(
-        F.col("a.core").alias("core_a"), F.col("b.core").alias("core_b"))
     # a cheap bound first (plain edit distance with a cut-off, in the JVM), then one row a pair, then the exact rule
-    met = met.where(F.levenshtein("core_a", "core_b", 4) >= 0).distinct()
+    close = (F.levenshtein("a.snd", "b.snd", 6) >= 0) & (F.abs(F.length("a.snd") - F.length("b.snd")) <= 3)
+    met = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.core") < F.col("b.core")) & close).select(
+        F.col("a.core").alias("core_a"), F.col("b.core").alias("core_b")).distinct()
 
     def near(batches):
         for x in batches:
@@ -478,16 +486,31 @@ def name_links(nodes: DataFrame) -> DataFrame:
 def _unambiguous(links: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links without those of a name that several persons would fit.
 
-    A name whose first given name isn't known in full is vague; if its neighbours hold
-    two different full given names it links to none of them, only to other vague names of its like.
+    A name whose first given name isn't known in full is vague. Of the persons (full first
+    names) among its neighbours only those within a margin of the best count: if these are
+    one person, its links to others fall away; if they are several, all its links do.
     """
-    n = nodes.select("node", "kind", F.when(F.col("kind") == "org", F.lit("")).otherwise(F.col("first")).alias("first"))
-    seen = links.join(n.select(F.col("node").alias("b"), F.col("first").alias("fb")), "b")
-    split = seen.where("fb <> ''").groupBy("a").agg(F.min("fb").alias("lo"), F.max("fb").alias("hi")).where("lo <> hi").select("a")
-    vague = n.where("kind = 'person' and first = ''").select(F.col("node").alias("a"))
-    bad = split.join(vague, "a", "left_semi")
-    kept = links.join(bad, "a", "left_anti").join(bad.select(F.col("a").alias("b")), "b", "left_anti")
-    return kept.select("a", "b", "score")
+    n = nodes.select("node", F.when(F.col("kind") == "org", F.lit("*")).otherwise(F.col("first")).alias("first"))
+    seen = (
+        links.join(n.select(F.col("node").alias("a"), F.col("first").alias("fa")), "a")
+        .join(n.select(F.col("node").alias("b"), F.col("first").alias("fb")), "b")
+    )
+    vague = seen.where("fa = '' and fb <> ''")
+    best = vague.groupBy("a").agg(F.max("score").alias("best"))
+    choice = vague.join(best, "a").where(F.col("score") >= F.col("best") - VAGUE_MARGIN).groupBy("a").agg(
+        F.min("fb").alias("lo"), F.max("fb").alias("hi"))
+    chosen = choice.select("a", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise("-").alias("of"))
+    marked = (
+        seen.join(chosen.withColumnRenamed("of", "of_a"), "a", "left")
+        .join(chosen.select(F.col("a").alias("b"), F.col("of").alias("of_b")), "b", "left")
+    )
+    # a vague name that is settled counts as that person; an unsettled one links to nobody
+    as_a = F.when(F.col("fa") != "", F.col("fa")).otherwise(F.col("of_a"))
+    as_b = F.when(F.col("fb") != "", F.col("fb")).otherwise(F.col("of_b"))
+    fits = as_a.isNull() | as_b.isNull() | (as_a == as_b)
+    split = F.coalesce(F.col("of_a") == "-", F.lit(False)) | F.coalesce(F.col("of_b") == "-", F.lit(False))
+    both_full = (F.col("fa") != "") & (F.col("fb") != "")
+    return marked.where(both_full | (fits & ~split)).select("a", "b", "score")
 
 
 def stars(links: DataFrame, ranks: DataFrame) -> DataFrame:
