@@ -84,7 +84,8 @@ _TABLE = {ord(k): v for k, v in LOOK_ALIKES.items()}
 
 def _segment(run: str) -> str:
     s = "".join(c for c in run if not _invisible(c))
-    s = unicodedata.normalize("NFKD", s).translate(_TABLE)
+    # some look-alikes have a compatibility form of another look, so the table comes before it as well
+    s = unicodedata.normalize("NFKD", s.translate(_TABLE)).translate(_TABLE)
     return unicodedata.normalize("NFC", "".join(" " if c.isspace() else c for c in s))
 
 
