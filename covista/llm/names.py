@@ -464,13 +464,20 @@ def name_links(nodes: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("core_b").alias("core_a"), F.col("core_a").alias("core_b"))).unionByName(
         cores.select(F.col("core").alias("core_a"), F.col("core").alias("core_b")))
 
-    letters = F.when(F.col("kind") == "org", F.array(F.lit("#"))).when(F.size("givens") == 0, F.array(F.lit("*"))).otherwise(
-        F.array_distinct(F.flatten(F.transform("givens", lambda g: F.transform(F.split(g, r"\|"), lambda x: F.substring(x, 1, 1))))))
-    keyed = nodes.withColumn("letter", F.explode(letters))
-    left = keyed.join(both, keyed["core"] == both["core_a"]).select(
-        F.col("core_b").alias("meet"), "letter", F.struct("node", "kind", "core", "givens").alias("x"))
-    right = keyed.select(F.col("core").alias("meet"), "letter", F.struct("node", "kind", "core", "givens").alias("y"))
-    pairs = left.join(right, ["meet", "letter"]).where("x.node < y.node and x.kind = y.kind").select("x", "y").distinct()
+    # Two names known in full meet under a given name that both have. Only loose ones (with an initial or an
+    # unlisted form) meet others by first letter, so that a common family name yields no pairs of strangers.
+    alternatives = F.flatten(F.transform("givens", lambda g: F.split(g, r"\|")))
+    loose = F.exists(alternatives, lambda x: x.rlike(r"[.~]$"))
+    names_ = F.transform(F.filter(alternatives, lambda x: ~x.rlike(r"[.~]$")), lambda x: F.concat(F.lit("g:"), x))
+    letters = F.transform(alternatives, lambda x: F.concat(F.lit("l:"), F.substring(x, 1, 1)))
+    bare = F.when(F.col("kind") == "org", F.array(F.lit("#"))).when(F.size("givens") == 0, F.array(F.lit("*")))
+    every = nodes.withColumn("meet", F.explode(F.array_distinct(F.coalesce(bare, F.concat(names_, letters)))))
+    asking = nodes.withColumn("meet", F.explode(F.array_distinct(F.coalesce(bare, F.when(loose, F.concat(names_, letters)).otherwise(names_)))))
+    left = asking.join(both, asking["core"] == both["core_a"]).select(
+        F.col("core_b").alias("core"), "meet", F.struct("node", "kind", "core", "givens").alias("x"))
+    right = every.select("core", "meet", F.struct("node", "kind", "core", "givens").alias("y"))
+    met = left.join(right, ["core", "meet"]).where("x.node <> y.node and x.kind = y.kind")
+    pairs = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
     def compare(it):
         for pdf in it:

@@ -89,8 +89,8 @@ def set_overlaps(rows: DataFrame, sets: DataFrame, set_col: str = "person_id", i
 
     ``rows``: (set, item) memberships, repeated ones count once; ``sets``: the listed
     sets, null and repeated ids ignored. A pair without a row shares nothing. Counts
-    are exact but for 64-bit hash collisions. One shuffle of (hash, set number) rows by
-    hash range: an item in very many sets stays within one range, whose rows are bounded
+    are exact but for 64-bit hash collisions. Copies of a row fall
+    together map-side; then (hash, set number) rows are shuffled by hash range: an item in very many sets stays within one range, whose rows are bounded
     by that item's sets; a set of any size is spread over all ranges. The partial counts
     per pair are summed map-side.
     """
@@ -99,7 +99,7 @@ def set_overlaps(rows: DataFrame, sets: DataFrame, set_col: str = "person_id", i
     numbered = listed.select("_set", (F.row_number().over(Window.orderBy("_set")) - 1).cast("long").alias("no"))
     small = n <= BROADCAST_SETS
     mine = rows.join(F.broadcast(numbered) if small else numbered, rows[set_col] == F.col("_set")).select(
-        F.xxhash64(F.col(item_col)).alias("h"), "no")
+        F.xxhash64(F.col(item_col)).alias("h"), "no").distinct()
     total = rows.count()
     bits = max(0, math.ceil(math.log2(max(1, total / ROWS_PER_RANGE))))
     ranged = mine.withColumn("r", F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long"))

@@ -30,8 +30,9 @@ TARGET_RECALL = 0.9995
 DEPTHS = (3, 4, 5, 6)
 #: A neighbourhood with more sets is deepened.
 NEIGHBOURHOOD = 200
-#: A set with more rows is kept in chunks of its hash space.
-CHUNK_ROWS = 8192
+#: A set with more rows is kept in chunks of its hash space of about this size; of all sets no more than so many can
+#: be larger than a chunk, for the chunk grows with the table: their list is broadcast.
+CHUNK_ROWS, MOST_LARGE = 8192, 200_000
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -89,14 +90,15 @@ def _sketch(batches):
 def _chunked_sets(rows: DataFrame, chunk_rows: int) -> DataFrame:
     """(id, chunks, chunk, n, f1, f2, sig, hashes), one row a set, or one a chunk of the hash space for large sets.
 
-    chunks is a power of two and the chunk of a member its low hash bits, so the
-    chunks of two sets are nested. Rows are counted as delivered (map-side), which
-    bounds every group; only large sets are looked up.
+    chunks is a power of two and the chunk of a member its low hash bits, so the chunks of
+    two sets are nested, and every group that a task collects is bounded. Copies of a row
+    fall together map-side first. No set is ever hashed to one task by its id alone.
     """
-    h = rows.select("id", F.xxhash64("item").alias("h"))
-    large = h.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > chunk_rows)
-    large = large.select("id", F.expr(f"shiftleft(1, cast(ceil(log2(c / {chunk_rows})) as int))").alias("chunks"))
-    keyed = h.join(large, "id", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    h = rows.select("id", F.xxhash64("item").alias("h")).distinct()
+    size = max(chunk_rows, -(-rows.count() // MOST_LARGE))
+    large = h.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > size)
+    large = large.select("id", F.expr(f"shiftleft(1, cast(ceil(log2(c / {size})) as int))").alias("chunks"))
+    keyed = h.join(F.broadcast(large), "id", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     keyed = keyed.withColumn("chunk", F.expr("cast(h & (chunks - 1) as int)"))
     # the partial step ships raw hashes: for most sets they are smaller than a sketch
     groups = keyed.groupBy("id", "chunks", "chunk").agg(F.collect_list("h").alias("hs"))
@@ -120,9 +122,9 @@ def _neighbourhoods(sets: DataFrame, depth: int, trees: int) -> DataFrame:
     keys = F.array(*[F.xxhash64(F.lit(depth * 10_000 + t), *[F.col("sig")[i] for i in o])
                      for t, o in enumerate(tree_orders(depth, trees))])
     b = sets.select("id", "chunks", "n", F.explode(keys).alias("bucket"))
-    from pyspark.sql.window import Window
-
-    return b.withColumn("width", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).where("width > 1")
+    # widths fold map-side and the join splits a wide neighbourhood over tasks; most buckets hold one set and end here
+    widths = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("width")).where("width > 1")
+    return b.join(widths, "bucket")
 
 
 def _pair_up(groups: DataFrame, num: int, den: int) -> DataFrame:
