@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from covista.sources.tables import memberships
 
+#: Up to so many entities in the network their ids are broadcast (some tens of MB).
+BROADCAST_ENTITIES = 1_000_000
+
 
 def membership_scan(pei: DataFrame) -> DataFrame:
     """Distinct cleaned (person_id, image_name)."""
@@ -25,8 +28,17 @@ def network_people(people: DataFrame) -> DataFrame:
 
 
 def network_membership(pei: DataFrame, people: DataFrame) -> DataFrame:
-    """Memberships of the entities in the network. The planner broadcasts the entity side where it is small."""
-    return memberships(pei).join(network_entities(people), "person_id", "left_semi").distinct()
+    """Distinct memberships of the entities in the network.
+
+    Up to BROADCAST_ENTITIES entities (counted first) the entity side is broadcast and prunes rows
+    before anything is shuffled. Beyond, copies fall together first, by entity *and* item, so that
+    an entity with very many rows is never hashed to one task; the semi-join that follows
+    is free to split a heavy entity.
+    """
+    e = network_entities(people)
+    if e.limit(BROADCAST_ENTITIES + 1).count() <= BROADCAST_ENTITIES:
+        return memberships(pei).join(F.broadcast(e), "person_id", "left_semi").distinct()
+    return memberships(pei).distinct().join(e, "person_id", "left_semi")
 
 
 def without_items_of(members: DataFrame, entities: DataFrame) -> DataFrame:

@@ -43,6 +43,11 @@ def test_membership(pei, people):
     assert rows(membership.without_items_of(m, people.where("person_id = 'person_2'"))) == [("zzz", "b.JPG")]
 
 
+def test_network_without_broadcast(pei, people, monkeypatch):
+    monkeypatch.setattr(membership, "BROADCAST_ENTITIES", 1)
+    assert rows(membership.network_membership(pei, people)) == [("person_10", "a/L1.jpg"), ("person_2", "a/L1.jpg")]
+
+
 def test_summary_of_fixture(pei, people):
     m = membership.network_membership(pei, people)
     r = cooc.run_summary(m, membership.network_entities(people), 3).first()
