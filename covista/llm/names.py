@@ -446,7 +446,8 @@ def core_links(cores: DataFrame) -> DataFrame:
     a, b = bands.alias("a"), bands.alias("b")
     # a cheap bound first (plain edit distance with a cut-off, in the JVM), then one row a pair, then the exact rule
     close = (F.levenshtein("a.snd", "b.snd", 6) >= 0) & (F.abs(F.length("a.snd") - F.length("b.snd")) <= 3)
-    met = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.core") < F.col("b.core")) & close).select(
+    # the planner can't see that a core becomes as many rows as there are bands: never to be broadcast
+    met = a.join(b.hint("merge"), (F.col("a.band") == F.col("b.band")) & (F.col("a.core") < F.col("b.core")) & close).select(
         F.col("a.core").alias("core_a"), F.col("b.core").alias("core_b")).distinct()
 
     def near(batches):
