@@ -134,20 +134,17 @@ def same_look_pairs(people: DataFrame) -> DataFrame:
     once, null ids and null or blank names are no case. Letter case, spelling and real
     accents are visible differences; width, composition, invisible characters,
     look-alike letters and the kind and ends of white space are not. Equal stored names
-    are no pair. The join is by equality of the form; a form that very many rows share
-    is split by adaptive skew handling, and every pair it yields belongs to the result.
+    are no pair. All joins are by equality and their work is in proportion to the result.
     """
     named = (
         people.select("person_id", "name").where(F.col("person_id").isNotNull() & F.col("name").isNotNull()).distinct()
         .withColumn("look", look_of("name")).where("look <> ''")
     )
-    # Only forms with two stored spellings can give a pair; the check folds map-side.
-    split = named.groupBy("look").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).where("lo <> hi").select("look")
-    live = named.join(split, "look", "left_semi")
-    a, b = live.alias("a"), live.alias("b")
-    return (
-        a.join(b, (F.col("a.look") == F.col("b.look")) & (F.col("a.person_id") < F.col("b.person_id"))
-               & (F.col("a.name") != F.col("b.name")))
-        .select(F.col("a.person_id").alias("person_id_a"), F.col("b.person_id").alias("person_id_b"))
-        .distinct()
-    )
+    # Spellings are paired before people are: rows of equal stored names, however many, never meet each other.
+    spelled = named.select("look", "name").distinct()
+    a, b = spelled.alias("a"), spelled.alias("b")
+    pairs = a.join(b, (F.col("a.look") == F.col("b.look")) & (F.col("a.name") < F.col("b.name"))).select(
+        F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b"))
+    left = pairs.join(named.select(F.col("name").alias("name_a"), F.col("person_id").alias("x")), "name_a")
+    both = left.join(named.select(F.col("name").alias("name_b"), F.col("person_id").alias("y")), "name_b").where("x <> y")
+    return both.select(F.least("x", "y").alias("person_id_a"), F.greatest("x", "y").alias("person_id_b")).distinct()
