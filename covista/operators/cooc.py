@@ -13,6 +13,35 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covista.session import materialise
+
+
+def numbered(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(memberships (person_id, item_no), items (item_no, image_name)): items numbered in binary order.
+
+    With numbers the self-joins shuffle longs, and count and first item are aggregated in a hash
+    table; the minimum of a string would make Spark sort all co-occurrences. Items are
+    range-partitioned and sorted, so the ids that grow with partition and row grow with the name; they
+    are written once, for range bounds are sampled.
+    """
+    ordered = members.select("image_name").distinct().repartitionByRange("image_name").sortWithinPartitions("image_name")
+    items = materialise(ordered.withColumn("item_no", F.monotonically_increasing_id()), "items")
+    return members.join(items, "image_name").select("person_id", "item_no"), items
+
+
+def _sets(coded: DataFrame, k: int) -> DataFrame:
+    m = coded.select("item_no", F.col("person_id").alias("e1"))
+    for i in range(2, k + 1):
+        nxt = coded.select("item_no", F.col("person_id").alias(f"e{i}"))
+        m = m.join(nxt, "item_no").where(F.col(f"e{i - 1}") < F.col(f"e{i}"))
+    ids = [f"e{i}" for i in range(1, k + 1)]
+    found = m.groupBy(*ids).agg(F.count(F.lit(1)).alias("image_total"), F.min("item_no").alias("item_no"))
+    return found.select(F.lit(k).alias("k"), F.array(*ids).alias("ids"), "image_total", "item_no")
+
+
+def _named(found: DataFrame, items: DataFrame) -> DataFrame:
+    return found.join(items, "item_no").select("k", "ids", "image_total", F.col("image_name").alias("first_item"))
+
 
 def cooccur(members: DataFrame, k: int) -> DataFrame:
     """(ids array, image_total, first_item) of every set of k entities with a common item.
@@ -21,19 +50,14 @@ def cooccur(members: DataFrame, k: int) -> DataFrame:
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    m = members.select("image_name", F.col("person_id").alias("e1"))
-    for i in range(2, k + 1):
-        nxt = members.select("image_name", F.col("person_id").alias(f"e{i}"))
-        m = m.join(nxt, "image_name").where(F.col(f"e{i - 1}") < F.col(f"e{i}"))
-    ids = [f"e{i}" for i in range(1, k + 1)]
-    found = m.groupBy(*ids).agg(F.count(F.lit(1)).alias("image_total"), F.min("image_name").alias("first_item"))
-    return found.select(F.array(*ids).alias("ids"), "image_total", "first_item")
+    coded, items = numbered(members)
+    return _named(_sets(coded, k), items).drop("k")
 
 
 def combinations(members: DataFrame, max_k: int) -> DataFrame:
     """All non-empty sets of 1 to max_k entities: (k, ids, image_total, first_item)."""
-    parts = [cooccur(members, k).select(F.lit(k).alias("k"), "ids", "image_total", "first_item") for k in range(1, max_k + 1)]
-    return reduce(DataFrame.unionByName, parts)
+    coded, items = numbered(members)
+    return _named(reduce(DataFrame.unionByName, [_sets(coded, k) for k in range(1, max_k + 1)]), items)
 
 
 def common_items(members: DataFrame, ids: list[str]) -> DataFrame:
@@ -45,7 +69,9 @@ def common_items(members: DataFrame, ids: list[str]) -> DataFrame:
 
 def run_summary(members: DataFrame, entities: DataFrame, max_k: int) -> DataFrame:
     """One row (in_network, max_k, generated, skipped_empty); the empty sets are counted by the closed form."""
-    generated = combinations(members, max_k).agg(F.count(F.lit(1)).alias("generated"))
+    m = members.select("person_id", F.xxhash64("image_name").alias("item_no"))  # counts need no names
+    found = reduce(DataFrame.unionByName, [_sets(m, k).select("k") for k in range(1, max_k + 1)])
+    generated = found.agg(F.count(F.lit(1)).alias("generated"))
     n = entities.agg(F.count(F.lit(1)).alias("n")).scalar()
     d = F.col("in_network").cast("decimal(38,0)")
     every, term = F.lit(0).cast("decimal(38,0)"), F.lit(1).cast("decimal(38,0)")
