@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -42,6 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="covista-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
