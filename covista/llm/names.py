@@ -572,6 +572,13 @@ def name_entities(people: DataFrame, forms: DataFrame) -> DataFrame:
     return rows.select("person_id", "node").join(star, "node").select("person_id", F.col("centre").alias("entity"))
 
 
+def entity_ids(people: DataFrame, forms: DataFrame) -> DataFrame:
+    """(person_id, entity_id): entity_id is the least person_id of those whose names mean the same."""
+    e = materialise(name_entities(people, forms).distinct(), "entities")
+    least = e.groupBy("entity").agg(F.min("person_id").alias("entity_id"))
+    return e.join(least, "entity").select("person_id", "entity_id").distinct()
+
+
 def same_name_pairs(people: DataFrame, forms: DataFrame) -> DataFrame:
     """(person_id_a, person_id_b), a < b in binary order: different ids whose names mean the same person or organisation."""
     e = materialise(name_entities(people, forms).distinct(), "entities")

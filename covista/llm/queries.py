@@ -14,6 +14,12 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return canonical.same_look_pairs(table(spark, d, "people"))
 
 
+def p1_forms(spark: SparkSession, d: str) -> DataFrame:
+    """The one form of every name."""
+    people = table(spark, d, "people").select("person_id", "name").distinct()
+    return people.select("person_id", canonical.look_of("name").alias("form"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return setpairs.similar_persons(table(spark, d, "person_eligible_images"))
 
@@ -23,6 +29,18 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return overlap.near_sets(overlap.person_overlaps(pei, cmp))
 
 
+def p5_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """Shared images of every pair of compared persons; a pair without a row shares none."""
+    o = overlap.person_overlaps(table(spark, d, "person_eligible_images"), table(spark, d, "compare_list"))
+    return o.select(F.col("set_a").alias("person_id_a"), F.col("set_b").alias("person_id_b"), "shared")
+
+
+def p6_together(spark: SparkSession, d: str) -> DataFrame:
+    """Shared images of every pair of persons that shares one, and the ratio to the number expected by chance."""
+    t = together.persons_together(table(spark, d, "person_eligible_images"), least=1)
+    return t.select(F.col("item_a").alias("person_id_a"), F.col("item_b").alias("person_id_b"), "shared", F.round("ratio", 6).alias("ratio"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     found = together.persons_together(table(spark, d, "person_eligible_images"), least=10, lift=(3, 1))
     return found.select(F.col("item_a").alias("person_id_a"), F.col("item_b").alias("person_id_b"))
@@ -32,6 +50,11 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return names.same_name_pairs(table(spark, d, "people"), table(spark, d, "given_name_forms"))
 
 
+def p7_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Every person_id whose name means somebody, with the least person_id of those that mean the same."""
+    return names.entity_ids(table(spark, d, "people"), table(spark, d, "given_name_forms"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, d, "documents"))
 
@@ -45,7 +68,8 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p2_found, p5_found, p6_found, p7_found, p8_ids, p9_found, p10_found)}
+    return {f.__name__: f for f in (
+        p1_found, p1_forms, p2_found, p5_found, p5_overlaps, p6_found, p6_together, p7_found, p7_entities, p8_ids, p9_found, p10_found)}
 
 
 _M = catalogue.M
@@ -60,5 +84,9 @@ def oracle_sql() -> dict[str, str]:
         "p2_found": f"with {_PAIRS} select person_id_a, person_id_b from pn where na >= 5 and nb >= 5 and 5 * c >= 3 * (na + nb - c)",
         "p5_found": f"with {_PAIRS} select person_id_a, person_id_b from pn where 5 * c >= 2 * least(na, nb) "
         "and person_id_a in (select person_id from compare_list) and person_id_b in (select person_id from compare_list)",
+        "p5_overlaps": f"with {_PAIRS} select person_id_a, person_id_b, c shared from pn "
+        "where person_id_a in (select person_id from compare_list) and person_id_b in (select person_id from compare_list)",
+        "p6_together": f"with {_PAIRS} select person_id_a, person_id_b, c shared, "
+        "round(c::double * (select count(distinct image_name) from m) / (na::double * nb), 6) ratio from pn",
         "p6_found": f"with {_PAIRS} select person_id_a, person_id_b from pn where c >= 10 and c * (select count(distinct image_name) from m) >= 3 * na * nb",
     }

@@ -3,7 +3,9 @@ import pytest
 from covista.llm import queries
 from tests.test_oracle import _plain
 
-COLUMNS = {"p1_found": ["person_id_a", "person_id_b"], "p2_found": ["person_id_a", "person_id_b"], "p5_found": ["person_id_a", "person_id_b"],
+COLUMNS = {"p1_forms": ["person_id", "form"], "p5_overlaps": ["person_id_a", "person_id_b", "shared"], "p7_entities": ["person_id", "entity_id"],
+           "p6_together": ["person_id_a", "person_id_b", "shared", "ratio"],
+           "p1_found": ["person_id_a", "person_id_b"], "p2_found": ["person_id_a", "person_id_b"], "p5_found": ["person_id_a", "person_id_b"],
            "p6_found": ["person_id_a", "person_id_b"], "p7_found": ["person_id_a", "person_id_b"], "p8_ids": ["doc_id", "ids"],
            "p9_found": ["doc_id", "item_id"], "p10_found": ["doc_id", "subject"]}
 
@@ -16,7 +18,7 @@ def test_columns(spark, data, name):
     if name != "p8_ids":
         assert len(got) == len(set(got))
     if "person_id_a" in df.columns:
-        assert all(a < b for a, b in got)
+        assert all(x[0] < x[1] for x in got)
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
