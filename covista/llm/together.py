@@ -149,14 +149,13 @@ def together(rows: DataFrame, item: str = "person_id", basket: str = "image_name
     pair of blocks is a work item of bounded size. Items are paired by 64-bit hash.
     Empty input gives no row.
     """
-    m = rows.select(F.col(item).alias("item"), F.xxhash64(basket).alias("k")).distinct()
-    sizes = m.groupBy("item").agg(F.count(F.lit(1)).alias("size")).withColumn("h", F.xxhash64("item"))
+    m = rows.select(F.xxhash64(item).alias("h"), F.xxhash64(basket).alias("k")).distinct()
     n = m.agg(F.count_distinct("k").alias("n")).scalar()
-    sizes = sizes.withColumn("n", n)
+    sizes = m.groupBy("h").agg(F.count(F.lit(1)).alias("size")).withColumn("n", n)
     fit = F.col("size") >= least
     if lift:
         fit &= F.col("n").cast("double") * lift[1] >= F.col("size").cast("double") * lift[0] * 0.999999
-    live = m.join(sizes.where(fit).select("item"), "item", "left_semi").select(F.xxhash64("item").alias("h"), "k")
+    live = m.join(sizes.where(fit).select("h"), "h", "left_semi")
     big = live.groupBy("k").agg(F.count(F.lit(1)).alias("sz")).where(F.col("sz") > basket_limit)
     small = live.join(big.select("k"), "k", "left_anti").groupBy("k").agg(F.sort_array(F.collect_list("h")).alias("u"))
     whole = small.where(F.size("u") > 1).select("u", F.lit(None).cast("array<bigint>").alias("v"))
@@ -175,6 +174,8 @@ def together(rows: DataFrame, item: str = "person_id", basket: str = "image_name
         stripes.repartition("a", "blk").sortWithinPartitions("a", "blk")
         .mapInArrow(_merger(least), "a long, b long, c long")
     )
+    # names come back at the end, where few rows are left
+    sizes = rows.select(F.col(item).alias("item")).distinct().withColumn("h", F.xxhash64("item")).join(sizes, "h")
     left = sizes.select(F.col("h").alias("a"), F.col("item").alias("x"), F.col("size").alias("sx"), "n")
     right = sizes.select(F.col("h").alias("b"), F.col("item").alias("y"), F.col("size").alias("sy"))
     found = pairs.join(left, "a").join(right, "b")
