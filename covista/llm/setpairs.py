@@ -5,7 +5,10 @@ of them; sets in one common-prefix neighbourhood are compared. For threshold t a
 prefix of depth d is met by a pair at the threshold with probability t^d a tree, so
 the number of trees for a depth follows from the target recall. Neighbourhoods that
 are too wide at the first depth are deepened, with as many more trees as the deeper
-prefix needs for the same recall. What is compared is verified exactly.
+prefix needs. No two trees share a minhash: sets that are deepened get new ones for
+each depth. A pair may have to be met at every depth in turn, so what the first depth
+leaves of the allowed misses is divided among the deeper ones. What is compared is
+verified exactly.
 
 Sets equal in full are one class: the forest sees one representative of each.
 """
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from covista.session import materialise
 from covista.sources.tables import memberships
 
-#: Minhashes of a sketch, drawn upon by all trees.
+#: Minhashes of a sketch, at least: those of the first depth, which every set gets.
 SKETCH = 96
 #: Least share of the pairs at the threshold that must be compared; pairs above it fare better.
 TARGET_RECALL = 0.9995
@@ -33,6 +36,8 @@ NEIGHBOURHOOD = 200
 #: A set with more rows is kept in chunks of its hash space of about this size; of all sets no more than so many can
 #: be larger than a chunk, for the chunk grows with the table: their list is broadcast.
 CHUNK_ROWS, MOST_LARGE = 8192, 200_000
+#: Minhashes held at once by a sketching task.
+MINHASHES_AT_ONCE = 1_000_000
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -51,43 +56,76 @@ def tree_orders(depth: int, trees: int, sketch: int = SKETCH) -> list[list[int]]
     return out[:trees]
 
 
-def _seeds(k: int) -> np.ndarray:
-    return np.random.default_rng(96).integers(0, 2**63, k, dtype=np.uint64)
+def forest(threshold: float) -> list[tuple[int, int, int, int]]:
+    """(depth, trees, first minhash, minhashes) of each depth; a pair at the threshold is missed by all depths together
+    no more often than the target recall allows, also if it is deepened to the last."""
+    out, first = [], 0
+    for depth in DEPTHS:
+        if not out:
+            trees = trees_for(depth, threshold)
+            left = 1 - TARGET_RECALL - (1 - threshold**depth) ** trees
+            if left <= 0:  # nothing is left: one tree more
+                trees += 1
+                left = 1 - TARGET_RECALL - (1 - threshold**depth) ** trees
+            k = max(SKETCH, depth * trees)
+        else:
+            trees = trees_for(depth, threshold, 1 - left / (len(DEPTHS) - 1))
+            k = depth * trees
+        out.append((depth, trees, first, k))
+        first += k
+    return out
+
+
+def _seeds(first: int, k: int) -> np.ndarray:
+    return np.random.default_rng(96).integers(0, 2**63, first + k, dtype=np.uint64)[first:]
+
 
+def _sketcher(first: int, k: int):
+    def run(batches):
+        seeds, rows = _seeds(first, k), max(1, MINHASHES_AT_ONCE // k)
+        for b in batches:
+            for lo in range(0, b.num_rows, rows):
+                yield _sketch(b.slice(lo, rows), seeds)
 
-def _sketch(batches):
+    return run
+
+
+def _sketch(b: pa.RecordBatch, seeds: np.ndarray) -> pa.RecordBatch:
     """Rows (person, chunks, chunk, hashes) to distinct sorted hashes, size, fingerprint and minhashes of the chunk."""
-    seeds = _seeds(SKETCH)
-    for b in batches:
-        if not b.num_rows:
-            continue
-        col = b.column(3)
-        off = col.offsets.to_numpy()
-        v = col.values.to_numpy()[off[0] : off[-1]]
-        row = np.repeat(np.arange(b.num_rows), np.diff(off))
-        o = np.lexsort((v, row))
-        v, row = v[o], row[o]
-        keep = np.r_[True, (v[1:] != v[:-1]) | (row[1:] != row[:-1])]
-        v, row = v[keep], row[keep]
-        n = np.bincount(row, minlength=b.num_rows)
-        starts = np.cumsum(n) - n
-        u = v.view(np.uint64)
-        sig = np.empty((b.num_rows, SKETCH), np.int64)
-        for i, s in enumerate(seeds):
-            x = (u ^ s) * _MIX1
-            x ^= x >> np.uint64(29)
-            x *= _MIX2
-            sig[:, i] = np.minimum.reduceat(x >> np.uint64(1), starts).astype(np.int64)
-        f1 = np.bitwise_xor.reduceat((u * _MIX1) ^ (u >> np.uint64(31)), starts).view(np.int64)
-        f2 = np.bitwise_xor.reduceat((u ^ (u >> np.uint64(33))) * _MIX2, starts).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), b.column(2), pa.array(n.astype(np.int64)), pa.array(f1), pa.array(f2),
-             pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, SKETCH, dtype=np.int32)), pa.array(sig.ravel())),
-             pa.ListArray.from_arrays(pa.array(np.r_[starts, len(v)].astype(np.int32)), pa.array(v))],
-            names=["id", "chunks", "chunk", "n", "f1", "f2", "sig", "hashes"])
-
-
-def _chunked_sets(rows: DataFrame, chunk_rows: int) -> DataFrame:
+    col = b.column(3)
+    off = col.offsets.to_numpy()
+    v = col.values.to_numpy()[off[0] : off[-1]]
+    row = np.repeat(np.arange(b.num_rows), np.diff(off))
+    o = np.lexsort((v, row))
+    v, row = v[o], row[o]
+    keep = np.r_[True, (v[1:] != v[:-1]) | (row[1:] != row[:-1])]
+    v, row = v[keep], row[keep]
+    n = np.bincount(row, minlength=b.num_rows)
+    starts = np.cumsum(n) - n
+    u = v.view(np.uint64)
+    sig = np.empty((b.num_rows, len(seeds)), np.int64)
+    for i, s in enumerate(seeds):
+        x = (u ^ s) * _MIX1
+        x ^= x >> np.uint64(29)
+        x *= _MIX2
+        sig[:, i] = np.minimum.reduceat(x >> np.uint64(1), starts).astype(np.int64)
+    f1 = np.bitwise_xor.reduceat((u * _MIX1) ^ (u >> np.uint64(31)), starts).view(np.int64)
+    f2 = np.bitwise_xor.reduceat((u ^ (u >> np.uint64(33))) * _MIX2, starts).view(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [b.column(0), b.column(1), b.column(2), pa.array(n.astype(np.int64)), pa.array(f1), pa.array(f2),
+         pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, len(seeds), dtype=np.int32)), pa.array(sig.ravel())),
+         pa.ListArray.from_arrays(pa.array(np.r_[starts, len(v)].astype(np.int32)), pa.array(v))],
+        names=["id", "chunks", "chunk", "n", "f1", "f2", "sig", "hashes"])
+
+
+def _sketched(groups: DataFrame, first: int, k: int) -> DataFrame:
+    """(id, chunks, chunk, hashes) with size, fingerprint and minhashes."""
+    kind = groups.schema["id"].dataType.simpleString()
+    return groups.mapInArrow(
+        _sketcher(first, k), f"id {kind}, chunks int, chunk int, n long, f1 long, f2 long, sig array<long>, hashes array<long>")
+
+
+def _chunked_sets(rows: DataFrame, chunk_rows: int, first: int, k: int) -> DataFrame:
     """(id, chunks, chunk, n, f1, f2, sig, hashes), one row a set, or one a chunk of the hash space for large sets.
 
     chunks is a power of two and the chunk of a member its low hash bits, so the chunks of
@@ -102,9 +140,7 @@ def _chunked_sets(rows: DataFrame, chunk_rows: int) -> DataFrame:
     keyed = keyed.withColumn("chunk", F.expr("cast(h & (chunks - 1) as int)"))
     # the partial step ships raw hashes: for most sets they are smaller than a sketch
     groups = keyed.groupBy("id", "chunks", "chunk").agg(F.collect_list("h").alias("hs"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return groups.mapInArrow(
-        _sketch, f"id {kind}, chunks int, chunk int, n long, f1 long, f2 long, sig array<long>, hashes array<long>")
+    return _sketched(groups, first, k)
 
 
 def _sets(parts: DataFrame) -> DataFrame:
@@ -117,11 +153,16 @@ def _sets(parts: DataFrame) -> DataFrame:
     return one.unionByName(base.join(sig.select("id", F.col("s.v").alias("sig")), "id"))
 
 
-def _neighbourhoods(sets: DataFrame, depth: int, trees: int) -> DataFrame:
-    """(bucket, id, chunks, n, width): the sets of every common-prefix neighbourhood of two or more."""
+def _keyed(sets: DataFrame, depth: int, trees: int, sketch: int) -> DataFrame:
+    """(id, chunks, n, keys): the prefix of a set in each tree."""
     keys = F.array(*[F.xxhash64(F.lit(depth * 10_000 + t), *[F.col("sig")[i] for i in o])
-                     for t, o in enumerate(tree_orders(depth, trees))])
-    b = sets.select("id", "chunks", "n", F.explode(keys).alias("bucket"))
+                     for t, o in enumerate(tree_orders(depth, trees, sketch))])
+    return sets.select("id", "chunks", "n", keys.alias("keys"))
+
+
+def _neighbourhoods(keyed: DataFrame) -> DataFrame:
+    """(bucket, id, chunks, n, width): the sets of every common-prefix neighbourhood of two or more."""
+    b = keyed.select("id", "chunks", "n", F.explode("keys").alias("bucket"))
     # widths fold map-side and the join splits a wide neighbourhood over tasks; most buckets hold one set and end here
     widths = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("width")).where("width > 1")
     return b.join(widths, "bucket")
@@ -144,17 +185,18 @@ def similar_sets(rows: DataFrame, num: int = 3, den: int = 5, least: int = 1, ne
     Rows repeated in full count once; rows with nulls must have been dropped; items are
     compared by 64-bit hash. To compare records of two tables, give both with distinct ids.
     """
-    parts = materialise(_chunked_sets(rows, chunk_rows), "set-parts")
+    levels = forest(num / den)
+    parts = materialise(_chunked_sets(rows, chunk_rows, *levels[0][2:]), "set-parts")
     sets = materialise(_sets(parts).where(F.col("n") >= least), "sets")
     rep_of = sets.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"))
     classes = sets.select("id", "n", "f1", "f2").join(rep_of, ["n", "f1", "f2"]).select("id", "rep", "n")
     reps = sets.join(rep_of.select(F.col("rep").alias("id")), "id", "left_semi")
 
     found = None
-    active = reps
-    for level, depth in enumerate(DEPTHS):
-        near = materialise(_neighbourhoods(active, depth, trees_for(depth, num / den)), f"near-{depth}")
-        last = level == len(DEPTHS) - 1
+    keyed = _keyed(reps, *levels[0][:2], levels[0][3])
+    for level, (depth, *_) in enumerate(levels):
+        near = materialise(_neighbourhoods(keyed), f"near-{depth}")
+        last = level == len(levels) - 1
         fit = near if last else near.where(F.col("width") <= neighbourhood)
         if last:
             # Still wide at full depth: the pairs are joined, so a wide neighbourhood is spread over tasks by skew handling.
@@ -169,7 +211,10 @@ def similar_sets(rows: DataFrame, num: int = 3, den: int = 5, least: int = 1, ne
         wide_ids = near.where(F.col("width") > neighbourhood).select("id")
         if last or wide_ids.isEmpty():
             break
-        active = reps.join(wide_ids.distinct(), "id", "left_semi")
+        # the wide ones alone get the minhashes of the next depth; what is written is one key a tree
+        below, trees, first, k = levels[level + 1]
+        wide_parts = parts.select("id", "chunks", "chunk", "hashes").join(wide_ids.distinct(), "id", "left_semi")
+        keyed = materialise(_keyed(_sets(_sketched(wide_parts, first, k)), below, trees, k), f"keys-{below}")
 
     cand = found.groupBy("x", "y").agg(F.lit(1)).select(
         F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"),

@@ -70,6 +70,34 @@ def test_recall_curve():
         assert all(len(set(o)) == d and max(o) < setpairs.SKETCH for o in orders)
 
 
+def test_trees_share_no_minhash():
+    """Also over all depths together the misses of a pair at the threshold stay within the target."""
+    for threshold in (0.4, 0.5, 0.6, 0.8):
+        miss, used = 0.0, 0
+        for depth, trees, first, k in setpairs.forest(threshold):
+            drawn = sum(setpairs.tree_orders(depth, trees, k), [])
+            assert len(drawn) == len(set(drawn)) == depth * trees and max(drawn) < k and first == used
+            miss, used = miss + (1 - threshold**depth) ** trees, used + k
+        assert miss <= 1 - setpairs.TARGET_RECALL
+    rng = np.random.default_rng(1)
+    for depth, trees, _, k in setpairs.forest(0.6)[1:]:
+        same = rng.random((60_000, k), dtype=np.float32) < 0.6
+        met = np.any([same[:, o].all(axis=1) for o in setpairs.tree_orders(depth, trees, k)], axis=0)
+        assert (~met).mean() <= 0.0005
+
+
+def test_recall_of_deepened_pairs(spark):
+    """Pairs at a Jaccard of exactly 3/5, each neighbourhood taken as wide down to the last depth."""
+    n = 3000
+    r = spark.range(n * 10).selectExpr("id div 10 p", "id % 10 i")
+    ids = r.where("i < 8").selectExpr("concat('a', p) id", "concat(p, '-', i) item").unionByName(
+        r.where("i > 1").selectExpr("concat('b', p) id", "concat(p, '-', i) item"))
+    links, _ = setpairs.similar_sets(ids, 3, 5, neighbourhood=1)
+    got = {(x.a, x.b) for x in links.select("a", "b").collect()}
+    assert all(a[0] != b[0] and a[1:] == b[1:] for a, b in got)
+    assert len(got) >= n - 5
+
+
 @pytest.mark.parametrize("bits", [6, 64])
 def test_trie(bits):
     rng = np.random.default_rng(bits)
