@@ -4,7 +4,9 @@
    legal form), given names in order, and initials; titles fall away. Names of one
    parse are one node, however many rows hold them.
 2. Cores meet by MinHash banding over padded q-grams; the number of bands follows from
-   the collision curve and a target recall. Core pairs are verified by edit distance.
+   the collision curve and a target recall. Cores whose allowed edits leave fewer q-grams
+   in common than that meet by what is left when letters are taken out: every pair within
+   the allowed edits has such a rest in common. Core pairs are verified by edit distance.
 3. Nodes with linked cores and a given name in common (as a spelling, a short form or an
    initial) are compared by Monge-Elkan similarity.
 4. Links are clustered into stars: fully written names are centres, in order of rank, and
@@ -14,6 +16,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 import re
@@ -56,6 +59,10 @@ QGRAM = 3
 #: Minhashes in a band, and the similarity of core spellings (Jaccard of q-grams) that must meet with the target recall.
 BAND_ROWS = 3
 TARGET_SIMILARITY, TARGET_RECALL = 0.42, 0.985
+#: Texts up to this length meet by rests of the whole; from twice ``END`` letters on by rests of their first and last letters.
+WHOLE, END = 16, 7
+#: Cores taken at once by a banding task.
+CORES_AT_ONCE = 1000
 #: Monge-Elkan similarity that makes two names one.
 LEAST_SIMILARITY = 0.8
 #: A vague name joins a person only if no other person fits it within this margin.
@@ -331,11 +338,38 @@ def given_similarity(a: str, b: str) -> float:
     return best
 
 
+def allowed_edits(n: int) -> int:
+    """Edits that a core of n sounds may have."""
+    return 0 if n < 4 else 1 if n < 7 else 2 if n < 14 else 3
+
+
+def _rests(text: str, most: int) -> set[str]:
+    """The text with up to ``most`` letters taken out."""
+    return {"".join(r) for k in range(min(most, len(text)) + 1) for r in itertools.combinations(text, len(text) - k)}
+
+
+def core_rests(core: str) -> set[str]:
+    """Keys of which two cores within the allowed edits always have one in common, in sounds or in letters.
+
+    An edit or a swap costs either text one letter of what they have in common. Of up to m edits to a
+    text of two ends or more, one end sees (m + 1) // 2 at most, for a swap between the ends touches both.
+    The lengths of the two ways overlap by as much as the lengths of a pair can differ.
+    """
+    most = allowed_edits(len(sound(core)))
+    out = set()
+    for kind, t in (("s", sound(core)), ("l", core)):
+        if len(t) <= WHOLE:
+            out |= {f"{kind}w{r}" for r in _rests(t, most)}
+        if len(t) >= 2 * END:
+            out |= {f"{kind}a{r}" for r in _rests(t[:END], (most + 1) // 2)}
+            out |= {f"{kind}z{r}" for r in _rests(t[-END:], (most + 1) // 2)}
+    return out
+
+
 def core_distance(a: str, b: str) -> int:
     """Edits between two cores, in their sounds or their letters, if they may be one, else 99. Longer cores may differ more."""
     x, y = sound(a), sound(b)
-    n = min(len(x), len(y))
-    most = 0 if n < 4 else 1 if n < 7 else 2 if n < 14 else 3
+    most = allowed_edits(min(len(x), len(y)))
     d = edits(x, y, most)
     if d and (a != x or b != y):
         d = min(d, edits(a, b, most))
@@ -413,11 +447,11 @@ def parsed_names(people: DataFrame, forms: DataFrame) -> DataFrame:
 
 
 def _bands(batches):
-    """Cores to (core, its sound, band hash) over padded q-grams of the sound."""
+    """Cores to (core, its sound, hash of a band or a rest); the bands are over padded q-grams of the sound."""
     bands = bands_for()
     rng = np.random.default_rng(7)
     mul = rng.integers(1, 2**62, bands * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    for b in batches:
+    for b in (b.slice(lo, CORES_AT_ONCE) for b in batches for lo in range(0, b.num_rows, CORES_AT_ONCE)):
         cores, sounds, keys = [], [], []
         for core in b.column(0).to_pylist():
             t = "^" * (QGRAM - 1) + sound(core) + "$" * (QGRAM - 1)
@@ -432,9 +466,11 @@ def _bands(batches):
                 k = (k ^ m[:, r]) * np.uint64(0xBF58476D1CE4E5B9)
                 k ^= k >> np.uint64(30)
             k ^= np.arange(bands, dtype=np.uint64) * np.uint64(0x94D049BB133111EB)
-            cores += [core] * bands
-            sounds += [sound(core)] * bands
-            keys.append(k.view(np.int64))
+            rests = [int.from_bytes(hashlib.blake2b(r.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+                     for r in core_rests(core)]
+            cores += [core] * (bands + len(rests))
+            sounds += [sound(core)] * (bands + len(rests))
+            keys += [k.view(np.int64), np.array(rests, np.int64)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(cores, pa.string()), pa.array(sounds, pa.string()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))],
             names=["core", "snd", "band"])
@@ -445,7 +481,9 @@ def core_links(cores: DataFrame) -> DataFrame:
     bands = cores.select("core").mapInArrow(_bands, "core string, snd string, band long")
     a, b = bands.alias("a"), bands.alias("b")
     # a cheap bound first (plain edit distance with a cut-off, in the JVM), then one row a pair, then the exact rule
-    close = (F.levenshtein("a.snd", "b.snd", 6) >= 0) & (F.abs(F.length("a.snd") - F.length("b.snd")) <= 3)
+    close = F.lit(False)
+    for c in ("snd", "core"):
+        close |= (F.abs(F.length(f"a.{c}") - F.length(f"b.{c}")) <= 3) & (F.levenshtein(f"a.{c}", f"b.{c}", 6) >= 0)
     # the planner can't see that a core becomes as many rows as there are bands: never to be broadcast
     met = a.join(b.hint("merge"), (F.col("a.band") == F.col("b.band")) & (F.col("a.core") < F.col("b.core")) & close).select(
         F.col("a.core").alias("core_a"), F.col("b.core").alias("core_b")).distinct()

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from covista.llm import names
@@ -41,6 +43,43 @@ def test_collision_curve():
     assert 1 - (1 - names.TARGET_SIMILARITY**names.BAND_ROWS) ** b >= names.TARGET_RECALL
 
 
+def _typed(rng, w, most):
+    """w with up to ``most`` slips, swaps of neighbours often."""
+    for _ in range(rng.randint(1, most)):
+        i = rng.randrange(max(1, len(w)))
+        c = rng.choice("abdefgiklmnoprstuvxyzh")
+        w = rng.choice([w[:i] + w[i + 1 : i + 2] + w[i : i + 1] + w[i + 2 :], w[:i] + w[i + 1 : i + 2] + w[i : i + 1] + w[i + 2 :],
+                        w[:i] + c + w[i + 1 :], w[:i] + w[i + 1 :], w[:i] + c + w[i:]])
+    return w
+
+
+def test_rests_meet_all_accepted_pairs():
+    """Whatever core_distance accepts has a key in common, at every length."""
+    rng, seen = random.Random(3), 0
+    for k in range(5000):
+        w = "".join(rng.choice("abdefgiklmnoprstuvxyzh") for _ in range(k % 24 + 2))
+        v = _typed(rng, w, 3)
+        if v and names.core_distance(w, v) < 99:
+            seen += 1
+            assert names.core_rests(w) & names.core_rests(v), (w, v)
+    assert seen > 2000
+
+
+def test_short_and_twice_edited_cores_meet(spark):
+    rng, want = random.Random(4), set()
+    for n in (4, 5, 6, 7, 8, 9, 10, 14):
+        for _ in range(25):
+            w = "".join(rng.choice("bdfgklmnprstv" if i % 2 else "aeiou") for i in range(n))
+            i, j = n // 2 - 2, n // 2 + 1
+            v = w[:i] + w[i + 1] + w[i] + w[i + 2 :]
+            if n >= 7:  # two slips apart
+                v = w[:i] + "h" + w[i + 1 : j] + "h" + w[j + 1 :]
+            if v != w and names.core_distance(w, v) < 99:
+                want.add((min(w, v), max(w, v)))
+    cores = spark.createDataFrame([(x,) for x in sorted({x for p in want for x in p})], "core string")
+    assert len(want) > 150 and want <= {tuple(r) for r in names.core_links(cores).collect()}
+
+
 def test_links(spark):
     r = [("a1", "Jebim Retheshadru"), ("a2", "RETHESHADRU Jeb"), ("a3", "Dr. Jebim Rethesadru"), ("a4", "J. Retheshadru"), ("a4", "J. Retheshadru"), ("a5", "ｊebim  Retheshádru"),
          ("b1", "Habrodain Retheshadru"), ("b2", "Retheshadru, Hab"), ("c1", "Skibrim Molotoplan"), ("c2", "Zuribris Molotoplan"), ("c3", "Briko Molotoplan"), ("c4", "Skibrim Molotoplam"),
