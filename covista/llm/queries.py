@@ -41,6 +41,12 @@ def p6_together(spark: SparkSession, d: str) -> DataFrame:
     return t.select(F.col("item_a").alias("person_id_a"), F.col("item_b").alias("person_id_b"), "shared", F.round("ratio", 6).alias("ratio"))
 
 
+def p6_likelihood(spark: SparkSession, d: str) -> DataFrame:
+    """p6_together's pairs with Dunning's log-likelihood ratio."""
+    t = together.persons_together(table(spark, d, "person_eligible_images"), least=1)
+    return t.select(F.col("item_a").alias("person_id_a"), F.col("item_b").alias("person_id_b"), "shared", F.round("ratio", 6).alias("ratio"), "llr")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     found = together.persons_together(table(spark, d, "person_eligible_images"), least=10, lift=(3, 1))
     return found.select(F.col("item_a").alias("person_id_a"), F.col("item_b").alias("person_id_b"))
@@ -69,7 +75,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 def queries():
     return {f.__name__: f for f in (
-        p1_found, p1_forms, p2_found, p5_found, p5_overlaps, p6_found, p6_together, p7_found, p7_entities, p8_ids, p9_found, p10_found)}
+        p1_found, p1_forms, p2_found, p5_found, p5_overlaps, p6_found, p6_together, p6_likelihood, p7_found, p7_entities, p8_ids, p9_found, p10_found)}
 
 
 _M = catalogue.M

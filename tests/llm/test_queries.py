@@ -1,3 +1,5 @@
+import math
+
 import pytest
 
 from covista.llm import queries
@@ -24,3 +26,20 @@ def test_columns(spark, data, name):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows(spark, data, duck, name):
     assert _plain(queries.queries()[name](spark, data).toPandas()) == _plain(duck.execute(queries.oracle_sql()[name]).df())
+
+
+def test_likelihood(spark, data, duck):
+    """The pairs of p6_together, each with the G² of its 2x2 table."""
+    df = queries.queries()["p6_likelihood"](spark, data)
+    assert df.columns == [*COLUMNS["p6_together"], "llr"]
+    got = {(r.person_id_a, r.person_id_b): r for r in df.collect()}
+    sql = queries.oracle_sql()["p6_together"]
+    size = dict(duck.execute(sql[: sql.index(", n as")] + " select person_id, count(*) from m group by 1").fetchall())
+    n = duck.execute(sql[: sql.index(", n as")] + " select count(distinct image_name) from m").fetchone()[0]
+    want = duck.execute(sql).fetchall()
+    assert want and len(got) == len(want)
+    for a, b, c, ratio in want:
+        x, y, r = size[a], size[b], got[a, b]
+        cells = ((c, x * y), (x - c, x * (n - y)), (y - c, y * (n - x)), (n - x - y + c, (n - x) * (n - y)))
+        assert (r.shared, r.ratio) == (c, pytest.approx(ratio, abs=2e-6))
+        assert r.llr == pytest.approx(2 * sum(k * math.log(k * n / e) for k, e in cells if k), rel=1e-6, abs=1e-6)
