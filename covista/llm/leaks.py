@@ -196,8 +196,10 @@ def without_leaks(docs: DataFrame, items: DataFrame, least: int = LEAST_WORDS, c
                 ws = words(t)
                 leaked = set()
                 for a in shared.value:
+                    done = 0  # spans begin and end in order: each word is taken once, however long the match
                     for s, e, _ in a.spans(ws):
-                        leaked.update(range(s, e))
+                        leaked.update(range(max(s, done), e))
+                        done = e
                 if leaked:
                     rows.append((i, len(leaked), len(ws), [w for k, w in enumerate(ws) if k not in leaked],
                                  len(leaked) > coverage * len(ws)))

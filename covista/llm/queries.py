@@ -69,13 +69,18 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p9_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with a leak, without the words of the leaked spans; a document without a row stays as it is."""
+    return leaks.without_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subjects"))
 
 
 def queries():
     return {f.__name__: f for f in (
-        p1_found, p1_forms, p2_found, p5_found, p5_overlaps, p6_found, p6_together, p6_likelihood, p7_found, p7_entities, p8_ids, p9_found, p10_found)}
+        p1_found, p1_forms, p2_found, p5_found, p5_overlaps, p6_found, p6_together, p6_likelihood, p7_found, p7_entities, p8_ids, p9_found, p9_clean, p10_found)}
 
 
 _M = catalogue.M
