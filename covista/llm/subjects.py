@@ -26,8 +26,10 @@ from covista.llm.leaks import _LINK, _TAG, _WORD
 
 #: Labelled documents that the models are fitted on, at most (the bound of what reaches the driver).
 SAMPLE_DOCUMENTS = 12_000
-#: Characters of a labelled document that enter the sample; fitting only, documents are classified whole.
-SAMPLE_CHARS = 20_000
+#: Bytes of text in the sample, at most: whole documents in the order of their hash, those passed over that don't fit any more.
+SAMPLE_BYTES = 64 * 2**20
+#: Subjects beyond this number aren't taken.
+MAX_SUBJECTS = 1000
 #: Of the sample, one document in so many is held out for the calibration.
 HOLD_OUT = 5
 #: Words and bigrams seen less often are left to the lower order.
@@ -252,14 +254,24 @@ def calibrate(model: SubjectModel, docs: list[list[list[str]]], labels: list[set
 
 
 def fit_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> SubjectModel:
-    """Models from a bounded sample of the labelled documents (the least ``sample`` by hash of the id)."""
-    names = sorted(r[0] for r in subjects.select("subject").where("subject is not null").distinct().limit(1000).collect())
+    """Models from a bounded sample of the labelled documents (the least ``sample`` by hash of the id, whole)."""
+    names = sorted(r[0] for r in subjects.select("subject").where("subject is not null").distinct().limit(MAX_SUBJECTS + 1).collect())
+    if len(names) > MAX_SUBJECTS:
+        raise ValueError("the subjects are beyond their stated bound")
     known = labels.select("doc_id", "subject").where("doc_id is not null and subject is not null").distinct()
     ids = known.select("doc_id").distinct().withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(sample)
     # no more ids than the sample holds, so they are broadcast and the texts stay where they are; of one id given twice one text is taken
+    whole = docs.select("doc_id", "text", F.lower(F.trim("lang")).alias("lang")).where("text is not null")
+    sizes = whole.select("doc_id", F.octet_length("text").alias("size")).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(
+        F.max("size").alias("size"), F.min("h").alias("h")).collect()
+    taken, room = [], SAMPLE_BYTES
+    for r in sorted(sizes, key=lambda r: (r.h, r.doc_id)):
+        if r.size <= room:
+            taken.append((r.doc_id, r.h))
+            room -= r.size
+    ids = docs.sparkSession.createDataFrame(taken, ids.schema)
     text = (
-        docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.lower(F.trim("lang")).alias("lang"))
-        .where("text is not null").join(F.broadcast(ids), "doc_id")
+        whole.join(F.broadcast(ids), "doc_id")
         .groupBy("doc_id").agg(F.min("text").alias("text"), F.min("h").alias("h"), F.min("lang").alias("lang"))
     )
     by_doc = known.join(ids.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_set("subject").alias("ls"))

@@ -136,3 +136,23 @@ def test_subjects_held_out(spark):
     assert len(got & want) / len(got) > 0.93 and len(got & want) / len(want) > 0.93
     assert subjects.document_subjects(docs.limit(0), labels, subs).count() == 0
     assert subjects.document_subjects(docs, labels.limit(0), subs).count() == 0
+
+
+def test_sample_holds_whole_documents(spark, monkeypatch):
+    late = "the print is torn. " * 1200 + "a late zeppelin is here. " * 5
+    docs = spark.createDataFrame([(i, late, "en") for i in range(10)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, "air") for i in range(10)], "doc_id long, subject string")
+    subs = spark.createDataFrame([("air", "x")], "subject string, description string")
+    assert "zeppelin" in subjects.fit_subjects(docs, labels, subs).vocab
+    seen = []
+    monkeypatch.setattr(subjects, "sentences", lambda t: seen.append(t) or [["a"]])
+    monkeypatch.setattr(subjects, "SAMPLE_BYTES", 3 * len(late) + 10)
+    subjects.fit_subjects(docs, labels, subs)
+    assert seen == [late] * 3
+
+
+def test_too_many_subjects(spark):
+    subs = spark.range(1001).selectExpr("cast(id as string) subject", "'x' description")
+    none = spark.createDataFrame([], "doc_id long, text string, lang string, subject string")
+    with pytest.raises(ValueError):
+        subjects.fit_subjects(none, none, subs)
