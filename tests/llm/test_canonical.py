@@ -63,3 +63,33 @@ def test_column(spark):
     df = spark.createDataFrame([("Ａ  b",), (None,), ("",)], "t string")
     assert [r[0] for r in df.select(c.look_of("t")).collect()] == ["A b", None, ""]
     assert [r[0] for r in df.select(c.canonical_of("t")).collect()] == ["A  b", None, ""]
+
+
+def test_canonically_equivalent_texts_are_equal():
+    """Every character of the code space and its decomposition, alone and among others."""
+    for cp in range(0xA0, 0x30000):
+        x = chr(cp)
+        d = unicodedata.normalize("NFD", x)
+        if d != x and not 0xD800 <= cp < 0xE000:
+            for left, right in (("", ""), ("é", "b")):
+                assert len({c.canonical(left + y + right) for y in (x, d, unicodedata.normalize("NFC", x))}) == 1, hex(cp)
+    assert c.canonical("ো") == c.canonical("ো") and c.canonical("가" + "ᆨ") == "각"
+
+
+def test_whole_list(spark):
+    t = c.look_alikes(spark)
+    assert len(t) > len(c.LOOK_ALIKES) + 100 and all(t[k] == v for k, v in c.LOOK_ALIKES.items())
+    assert [t[x] for x in "ꓐᎻⲟᑭ𐐄ᏞӀӏ"] == ["B", "H", "o", "P", "O", "L", "I", "l"]
+    assert not {"ノ", "ه", "ס", "б", "З", "م"} & t.keys()
+    w = c.whole_list(spark)
+    assert w.look("⠀ꓐ" + "Ꮋ´ǃ") == "BH'!" and w.look("Plain é") == "Plain é"
+
+
+def test_forms_are_made_once(spark, monkeypatch):
+    """Python runs in the tasks that write the forms, and nowhere in the plan of the pairs."""
+    made = []
+    monkeypatch.setattr(c, "materialise", lambda df, name: made.append(df) or df.sparkSession.createDataFrame(df.collect(), df.schema))
+    r = [("a", "Ann", "z"), ("b", "Аnn", "z")]
+    pairs = c.same_look_pairs(spark.createDataFrame(r, SCHEMA))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert len(made) == 1 and plan(made[0]).count("ArrowEvalPython") == 1 and "ArrowEvalPython" not in plan(pairs)
