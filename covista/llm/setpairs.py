@@ -1,14 +1,15 @@
 """All similar pairs between set-valued records, by sorted sketch forests.
 
-Each set gets K minhashes. A tree orders the sets lexicographically by a sequence
-of them; sets in one common-prefix neighbourhood are compared. For threshold t a
-prefix of depth d is met by a pair at the threshold with probability t^d a tree, so
-the number of trees for a depth follows from the target recall. Neighbourhoods that
-are too wide at the first depth are deepened, with as many more trees as the deeper
-prefix needs. No two trees share a minhash: sets that are deepened get new ones for
-each depth. A pair may have to be met at every depth in turn, so what the first depth
-leaves of the allowed misses is divided among the deeper ones. What is compared is
-verified exactly.
+Each set gets minhashes, a few for each tree. A tree orders the sets lexicographically by
+its own minhashes, packed into one sortable long; sets that stand together with a common
+prefix are a neighbourhood. A pair at threshold t has a common prefix of depth d in a tree
+with probability t^d, so from the deepest prefix on neighbourhoods are widened until the
+trees together meet such a pair with the target recall, and no further: the depth follows
+from the curve. No two trees share a minhash, so the curve holds.
+
+A neighbourhood too wide to compare all its sets is settled exactly: the sets of wide
+neighbourhoods are joined by their rarest members, of which two similar sets always have
+one in common. No pair depends on a width. What is compared is verified exactly.
 
 Sets equal in full are one class: the forest sees one representative of each.
 """
@@ -16,22 +17,22 @@ Sets equal in full are one class: the forest sees one representative of each.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from covista.session import materialise
 from covista.sources.tables import memberships
 
-#: Minhashes of a sketch, at least: those of the first depth, which every set gets.
-SKETCH = 96
+#: Trees of a forest (more only where even a prefix of one asks for them) and minhashes that a tree sorts by (16 bits each of its key).
+TREES, DEPTH = 32, 4
 #: Least share of the pairs at the threshold that must be compared; pairs above it fare better.
 TARGET_RECALL = 0.9995
-#: Depths of the common prefix, in turn.
-DEPTHS = (3, 4, 5, 6)
-#: A neighbourhood with more sets is deepened.
+#: The sets of a neighbourhood with more sets than this are joined by their rarest members instead.
 NEIGHBOURHOOD = 200
 #: A set with more rows is kept in chunks of its hash space of about this size; of all sets no more than so many can
 #: be larger than a chunk, for the chunk grows with the table: their list is broadcast.
@@ -47,42 +48,20 @@ def trees_for(depth: int, threshold: float, recall: float = TARGET_RECALL) -> in
     return math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth))
 
 
-def tree_orders(depth: int, trees: int, sketch: int = SKETCH) -> list[list[int]]:
-    """Which minhashes each tree sorts by: disjoint sequences first, then reshuffled rounds of them."""
-    rng, out = np.random.default_rng(20240 + depth), []
-    while len(out) < trees:
-        order = rng.permutation(sketch)
-        out += [order[i : i + depth].tolist() for i in range(0, sketch - depth + 1, depth)]
-    return out[:trees]
-
-
-def forest(threshold: float) -> list[tuple[int, int, int, int]]:
-    """(depth, trees, first minhash, minhashes) of each depth; a pair at the threshold is missed by all depths together
-    no more often than the target recall allows, also if it is deepened to the last."""
-    out, first = [], 0
-    for depth in DEPTHS:
-        if not out:
-            trees = trees_for(depth, threshold)
-            left = 1 - TARGET_RECALL - (1 - threshold**depth) ** trees
-            if left <= 0:  # nothing is left: one tree more
-                trees += 1
-                left = 1 - TARGET_RECALL - (1 - threshold**depth) ** trees
-            k = max(SKETCH, depth * trees)
-        else:
-            trees = trees_for(depth, threshold, 1 - left / (len(DEPTHS) - 1))
-            k = depth * trees
-        out.append((depth, trees, first, k))
-        first += k
-    return out
-
-
-def _seeds(first: int, k: int) -> np.ndarray:
-    return np.random.default_rng(96).integers(0, 2**63, first + k, dtype=np.uint64)[first:]
-
-
-def _sketcher(first: int, k: int):
+def forest(threshold: float, recall: float = TARGET_RECALL) -> tuple[int, int]:
+    """(trees, depth): the deepest common prefix at which the trees meet a pair at the threshold with the recall."""
+    for depth in range(DEPTH, 0, -1):
+        if (trees := trees_for(depth, threshold, recall)) <= TREES or depth == 1:
+            return trees, depth
+
+
+def _seeds(k: int) -> np.ndarray:
+    return np.random.default_rng(96).integers(0, 2**63, k, dtype=np.uint64)
+
+
+def _sketcher(k: int):
     def run(batches):
-        seeds, rows = _seeds(first, k), max(1, MINHASHES_AT_ONCE // k)
+        seeds, rows = _seeds(k), max(1, MINHASHES_AT_ONCE // k)
         for b in batches:
             for lo in range(0, b.num_rows, rows):
                 yield _sketch(b.slice(lo, rows), seeds)
@@ -103,12 +82,12 @@ def _sketch(b: pa.RecordBatch, seeds: np.ndarray) -> pa.RecordBatch:
     n = np.bincount(row, minlength=b.num_rows)
     starts = np.cumsum(n) - n
     u = v.view(np.uint64)
-    sig = np.empty((b.num_rows, len(seeds)), np.int64)
+    sig = np.empty((b.num_rows, len(seeds)), np.int32)
     for i, s in enumerate(seeds):
         x = (u ^ s) * _MIX1
         x ^= x >> np.uint64(29)
         x *= _MIX2
-        sig[:, i] = np.minimum.reduceat(x >> np.uint64(1), starts).astype(np.int64)
+        sig[:, i] = np.minimum.reduceat(x, starts) >> np.uint64(33)  # leading bits: the least of the chunks' is the set's
     f1 = np.bitwise_xor.reduceat((u * _MIX1) ^ (u >> np.uint64(31)), starts).view(np.int64)
     f2 = np.bitwise_xor.reduceat((u ^ (u >> np.uint64(33))) * _MIX2, starts).view(np.int64)
     return pa.RecordBatch.from_arrays(
@@ -118,14 +97,7 @@ def _sketch(b: pa.RecordBatch, seeds: np.ndarray) -> pa.RecordBatch:
         names=["id", "chunks", "chunk", "n", "f1", "f2", "sig", "hashes"])
 
 
-def _sketched(groups: DataFrame, first: int, k: int) -> DataFrame:
-    """(id, chunks, chunk, hashes) with size, fingerprint and minhashes."""
-    kind = groups.schema["id"].dataType.simpleString()
-    return groups.mapInArrow(
-        _sketcher(first, k), f"id {kind}, chunks int, chunk int, n long, f1 long, f2 long, sig array<long>, hashes array<long>")
-
-
-def _chunked_sets(rows: DataFrame, chunk_rows: int, first: int, k: int) -> DataFrame:
+def _chunked_sets(rows: DataFrame, chunk_rows: int, k: int) -> DataFrame:
     """(id, chunks, chunk, n, f1, f2, sig, hashes), one row a set, or one a chunk of the hash space for large sets.
 
     chunks is a power of two and the chunk of a member its low hash bits, so the chunks of
@@ -140,7 +112,9 @@ def _chunked_sets(rows: DataFrame, chunk_rows: int, first: int, k: int) -> DataF
     keyed = keyed.withColumn("chunk", F.expr("cast(h & (chunks - 1) as int)"))
     # the partial step ships raw hashes: for most sets they are smaller than a sketch
     groups = keyed.groupBy("id", "chunks", "chunk").agg(F.collect_list("h").alias("hs"))
-    return _sketched(groups, first, k)
+    kind = rows.schema["id"].dataType.simpleString()
+    return groups.mapInArrow(
+        _sketcher(k), f"id {kind}, chunks int, chunk int, n long, f1 long, f2 long, sig array<int>, hashes array<long>")
 
 
 def _sets(parts: DataFrame) -> DataFrame:
@@ -153,29 +127,111 @@ def _sets(parts: DataFrame) -> DataFrame:
     return one.unionByName(base.join(sig.select("id", F.col("s.v").alias("sig")), "id"))
 
 
-def _keyed(sets: DataFrame, depth: int, trees: int, sketch: int) -> DataFrame:
-    """(id, chunks, n, keys): the prefix of a set in each tree."""
-    keys = F.array(*[F.xxhash64(F.lit(depth * 10_000 + t), *[F.col("sig")[i] for i in o])
-                     for t, o in enumerate(tree_orders(depth, trees, sketch))])
-    return sets.select("id", "chunks", "n", keys.alias("keys"))
+def _sorted_trees(sets: DataFrame, trees: int) -> DataFrame:
+    """(tree, key, n, id, chunks) in the order of each tree. Equal keys are ordered by id, so a prefix that very many sets share is spread over partitions."""
+    def key(t):
+        parts = [F.shiftleft(F.element_at("sig", t * DEPTH + 1 + j).bitwiseAND(0xFFFF).cast("long"), 16 * (DEPTH - 1 - j)) for j in range(DEPTH)]
+        return reduce(lambda x, y: x.bitwiseOR(y), parts)
+
+    keys = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), key)
+    rows = sets.select("n", "id", "chunks", F.posexplode(keys).alias("tree", "key"))
+    return rows.repartitionByRange("tree", "key", "id").sortWithinPartitions("tree", "key", "id").select("tree", "key", "n", "id", "chunks")
+
+
+#: What a row of ``_neighbourhoods`` is: a whole neighbourhood, part of one at the edge of a partition, or part of a wide one.
+WHOLE, EDGE, WIDE = 0, 1, 2
 
 
-def _neighbourhoods(keyed: DataFrame) -> DataFrame:
-    """(bucket, id, chunks, n, width): the sets of every common-prefix neighbourhood of two or more."""
-    b = keyed.select("id", "chunks", "n", F.explode("keys").alias("bucket"))
-    # widths fold map-side and the join splits a wide neighbourhood over tasks; most buckets hold one set and end here
-    widths = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("width")).where("width > 1")
-    return b.join(widths, "bucket")
+def _neighbours(depth: int, width: int):
+    """Rows of sorted trees to runs of a common prefix: (prefix, state, members); no more than ``width`` rows and a batch are held."""
+
+    def out(b: pa.RecordBatch, starts: np.ndarray, state: np.ndarray, prefix: np.ndarray) -> pa.RecordBatch:
+        """The runs of b that begin at ``starts``; single sets are left out but at an edge."""
+        size = np.diff(np.r_[starts, b.num_rows])
+        keep = (size > 1) | (state != WHOLE)
+        rows = b.filter(pa.array(np.repeat(keep, size)))
+        offsets = pa.array(np.r_[0, np.cumsum(size[keep])].astype(np.int32))
+        members = pa.StructArray.from_arrays([rows.column(2), rows.column(3), rows.column(4)], names=["n", "id", "chunks"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(prefix[starts[keep]]), pa.array(state[keep].astype(np.int32)), pa.ListArray.from_arrays(offsets, members)],
+            names=["prefix", "state", "m"])
+
+    def run(batches):
+        held, wide, edge = None, None, True  # the open run's rows; its prefix if it is known to be wide; nothing closed yet
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if held is not None:
+                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            tree = b.column(0).to_numpy().astype(np.uint64)
+            lead = b.column(1).to_numpy().view(np.uint64) >> np.uint64(16 * (DEPTH - depth))
+            prefix = ((lead * _MIX1) ^ (tree * _MIX2)).view(np.int64)
+            starts = np.flatnonzero(np.r_[True, (lead[1:] != lead[:-1]) | (tree[1:] != tree[:-1])])
+            size = np.diff(np.r_[starts, b.num_rows])
+            state = np.where(size > width, WIDE, WHOLE)
+            if prefix[0] == wide:
+                state[0] = WIDE
+            elif edge and state[0] == WHOLE:
+                state[0] = EDGE
+            n = len(starts)
+            if state[-1] == WIDE:
+                wide, held = prefix[-1], None
+            else:
+                wide, held, n = None, b.slice(starts[-1]), n - 1
+            edge = edge and n == 0
+            if n:
+                yield out(b.slice(0, b.num_rows if held is None else starts[-1]), starts[:n], state[:n], prefix)
+        if held is not None:
+            lead = np.uint64(held.column(1)[0].as_py() % 2**64) >> np.uint64(16 * (DEPTH - depth))
+            with np.errstate(over="ignore"):
+                prefix = (lead * _MIX1) ^ (np.uint64(held.column(0)[0].as_py()) * _MIX2)
+            yield out(held, np.zeros(1, np.int64), np.full(1, EDGE), np.array([prefix]).view(np.int64))
+
+    return run
+
+
+def _neighbourhoods(ordered: DataFrame, depth: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """(m, sets of each neighbourhood of 2 to ``width``) and (id, of the sets of wider ones)."""
+    member = f"struct<n:long,id:{ordered.schema['id'].dataType.simpleString()},chunks:int>"
+    runs = materialise(ordered.mapInArrow(_neighbours(depth, width), f"prefix long, state int, m array<{member}>"), "neighbourhoods")
+    # parts of one neighbourhood on both sides of an edge are put together: a partition has two edges, each of no more than ``width`` sets
+    edges = runs.where(F.col("state") != WHOLE).groupBy("prefix").agg(
+        F.max("state").alias("state"), F.flatten(F.collect_list(F.when(F.col("state") == EDGE, F.col("m")))).alias("m"))
+    wide = (F.col("state") == WIDE) | (F.size("m") > width)
+    fit = runs.where(F.col("state") == WHOLE).select("m").unionByName(edges.where(~wide & (F.size("m") > 1)).select("m"))
+    ids = runs.where(F.col("state") == WIDE).select("m").unionByName(edges.where(wide).select("m"))
+    return fit, ids.select(F.explode("m.id").alias("id")).distinct()
 
 
 def _pair_up(groups: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs within each neighbourhood whose sizes allow the threshold; a is the smaller set (ties by id)."""
-    g = groups.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("n", "id", "chunks"))).alias("m"))
+    g = groups.select(F.sort_array("m").alias("m"))
     left = g.select("m", F.posexplode("m").alias("i", "x"))
     pairs = left.select("x", F.explode(F.slice("m", F.col("i") + 2, F.greatest(F.size("m") - F.col("i") - 1, F.lit(0)))).alias("y"))
     return pairs.where(F.col("x.n") * den >= F.col("y.n") * num).select("x", "y")
 
 
+def _by_rarest(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (x, y) of sets that have one of their rarest members in common; members: id, n, chunks, h.
+
+    Of the members of x in one order, two sets with Jaccard >= t have one in common among
+    the first n - ceil(t n) + 1 of either. The order is by the number of sets that hold a
+    member, and whatever ties with the last one counts too. Members of one set meet nobody.
+    """
+    often = members.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    live = members.join(often, "h")
+    # how many members of each frequency a set has: few rows a set, whatever its size
+    kinds = live.groupBy("id", "f").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"))
+    so_far = F.sum("c").over(Window.partitionBy("id").orderBy("f"))
+    all_ = F.sum("c").over(Window.partitionBy("id"))
+    need = F.col("n") - F.ceil(F.col("n") * num / den) + 1 - (F.col("n") - F.col("all"))  # members of one set come first of all
+    cut = kinds.select("id", "f", "n", so_far.alias("so_far"), all_.alias("all")).where((F.col("so_far") >= need) & (need > 0)).groupBy("id").agg(
+        F.min("f").alias("cut"))
+    first = live.join(cut, "id").where("f <= cut").select("h", F.struct("n", "id", "chunks").alias("x"))
+    return first.alias("l").join(first.select("h", F.col("x").alias("y")).alias("r"), "h").where(
+        (F.col("x") < F.col("y")) & (F.col("x.n") * den >= F.col("y.n") * num)).select("x", "y")
+
+
 def similar_sets(rows: DataFrame, num: int = 3, den: int = 5, least: int = 1, neighbourhood: int = NEIGHBOURHOOD,
                  chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
     """(links, classes) of the sets of ``rows`` (id, item) with at least ``least`` items and Jaccard >= num/den.
@@ -185,36 +241,18 @@ def similar_sets(rows: DataFrame, num: int = 3, den: int = 5, least: int = 1, ne
     Rows repeated in full count once; rows with nulls must have been dropped; items are
     compared by 64-bit hash. To compare records of two tables, give both with distinct ids.
     """
-    levels = forest(num / den)
-    parts = materialise(_chunked_sets(rows, chunk_rows, *levels[0][2:]), "set-parts")
+    trees, depth = forest(num / den)
+    parts = materialise(_chunked_sets(rows, chunk_rows, trees * DEPTH), "set-parts")
     sets = materialise(_sets(parts).where(F.col("n") >= least), "sets")
     rep_of = sets.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"))
     classes = sets.select("id", "n", "f1", "f2").join(rep_of, ["n", "f1", "f2"]).select("id", "rep", "n")
     reps = sets.join(rep_of.select(F.col("rep").alias("id")), "id", "left_semi")
 
-    found = None
-    keyed = _keyed(reps, *levels[0][:2], levels[0][3])
-    for level, (depth, *_) in enumerate(levels):
-        near = materialise(_neighbourhoods(keyed), f"near-{depth}")
-        last = level == len(levels) - 1
-        fit = near if last else near.where(F.col("width") <= neighbourhood)
-        if last:
-            # Still wide at full depth: the pairs are joined, so a wide neighbourhood is spread over tasks by skew handling.
-            wide = near.where(F.col("width") > neighbourhood).select("bucket", F.struct("n", "id", "chunks").alias("x"))
-            joined = wide.alias("l").join(wide.select("bucket", F.col("x").alias("y")).alias("r"), "bucket").where(
-                (F.col("x") < F.col("y")) & (F.col("x.n") * den >= F.col("y.n") * num)).select("x", "y")
-            fit = near.where(F.col("width") <= neighbourhood)
-            pairs = _pair_up(fit, num, den).unionByName(joined)
-        else:
-            pairs = _pair_up(fit, num, den)
-        found = pairs if found is None else found.unionByName(pairs)
-        wide_ids = near.where(F.col("width") > neighbourhood).select("id")
-        if last or wide_ids.isEmpty():
-            break
-        # the wide ones alone get the minhashes of the next depth; what is written is one key a tree
-        below, trees, first, k = levels[level + 1]
-        wide_parts = parts.select("id", "chunks", "chunk", "hashes").join(wide_ids.distinct(), "id", "left_semi")
-        keyed = materialise(_keyed(_sets(_sketched(wide_parts, first, k)), below, trees, k), f"keys-{below}")
+    fit, wide = _neighbourhoods(_sorted_trees(reps, trees), depth, neighbourhood)
+    found = _pair_up(fit, num, den)
+    if not wide.isEmpty():
+        members = parts.select("id", F.explode("hashes").alias("h")).join(sets.join(wide, "id", "left_semi").select("id", "n", "chunks"), "id")
+        found = found.unionByName(_by_rarest(members, num, den))
 
     cand = found.groupBy("x", "y").agg(F.lit(1)).select(
         F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"),

@@ -64,30 +64,33 @@ def test_similar_persons(spark):
 
 
 def test_recall_curve():
-    for d in setpairs.DEPTHS:
-        assert 1 - (1 - 0.6**d) ** setpairs.trees_for(d, 0.6) >= setpairs.TARGET_RECALL
-        orders = setpairs.tree_orders(d, setpairs.trees_for(d, 0.6))
-        assert all(len(set(o)) == d and max(o) < setpairs.SKETCH for o in orders)
-
-
-def test_trees_share_no_minhash():
-    """Also over all depths together the misses of a pair at the threshold stay within the target."""
-    for threshold in (0.4, 0.5, 0.6, 0.8):
-        miss, used = 0.0, 0
-        for depth, trees, first, k in setpairs.forest(threshold):
-            drawn = sum(setpairs.tree_orders(depth, trees, k), [])
-            assert len(drawn) == len(set(drawn)) == depth * trees and max(drawn) < k and first == used
-            miss, used = miss + (1 - threshold**depth) ** trees, used + k
-        assert miss <= 1 - setpairs.TARGET_RECALL
+    """The deepest prefix that the trees allow is taken, and misses of a pair at the threshold stay within the target."""
+    assert setpairs.forest(0.6) == (32, 3)
+    for t in (0.05, 0.3, 0.5, 0.6, 0.8, 0.95):
+        trees, depth = setpairs.forest(t)
+        assert (1 - t**depth) ** trees <= 1 - setpairs.TARGET_RECALL
+        assert depth == setpairs.DEPTH or setpairs.trees_for(depth + 1, t) > setpairs.TREES
     rng = np.random.default_rng(1)
-    for depth, trees, _, k in setpairs.forest(0.6)[1:]:
-        same = rng.random((60_000, k), dtype=np.float32) < 0.6
-        met = np.any([same[:, o].all(axis=1) for o in setpairs.tree_orders(depth, trees, k)], axis=0)
-        assert (~met).mean() <= 0.0005
+    same = rng.random((200_000, 32, 3), dtype=np.float32) < 0.6
+    assert (~same.all(axis=2).any(axis=1)).mean() <= 0.0006
+
+
+def test_neighbourhoods_are_runs_of_a_prefix(spark):
+    """Across batches and partitions, those wider than the limit apart; brute force groups by prefix."""
+    rng = random.Random(6)
+    for width, parts in ((3, 1), (3, 5), (50, 4)):
+        r = sorted({(t, sum(rng.randrange(3) << (48 - 16 * j) for j in range(4)), 7, f"s{i}", 1) for t in range(3) for i in range(60)})
+        df = spark.createDataFrame(r, "tree int, key long, n long, id string, chunks int").repartitionByRange(parts, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
+        groups = {}
+        for t, k, _, i, _ in r:
+            groups.setdefault((t, k >> 16), []).append(i)
+        fit, wide = setpairs._neighbourhoods(df, 3, width)
+        assert sorted(sorted(x["id"] for x in g.m) for g in fit.collect()) == sorted(sorted(g) for g in groups.values() if 1 < len(g) <= width)
+        assert {x.id for x in wide.collect()} == {i for g in groups.values() if len(g) > width for i in g}
 
 
 def test_recall_of_deepened_pairs(spark):
-    """Pairs at a Jaccard of exactly 3/5, each neighbourhood taken as wide down to the last depth."""
+    """Pairs at a Jaccard of exactly 3/5, each neighbourhood taken as wide."""
     n = 3000
     r = spark.range(n * 10).selectExpr("id div 10 p", "id % 10 i")
     ids = r.where("i < 8").selectExpr("concat('a', p) id", "concat(p, '-', i) item").unionByName(
@@ -98,6 +101,16 @@ def test_recall_of_deepened_pairs(spark):
     assert len(got) >= n - 5
 
 
+def test_wide_neighbourhoods_are_exact(spark):
+    """600 sets that share most of their members stand in neighbourhoods far beyond 200: no pair is lost."""
+    rng, sets = random.Random(8), {}
+    for i in range(600):
+        sets[f"p{i:03d}"] = set(range(20)) | {1000 + rng.randrange(60) for _ in range(rng.randint(6, 14))}
+    r = [(p, f"i{x}") for p, s in sets.items() for x in s]
+    links, classes = setpairs.similar_sets(spark.createDataFrame(r, "id string, item string"), 3, 5)
+    assert rows(setpairs.expand_pairs(links, classes)) == close(sets, 3, 5, 1)
+
+
 @pytest.mark.parametrize("bits", [6, 64])
 def test_trie(bits):
     rng = np.random.default_rng(bits)
