@@ -144,6 +144,39 @@ def test_overlaps(spark, monkeypatch):
     assert overlap.person_overlaps(frame(spark, sets), lst.limit(0)).count() == 0
 
 
+def test_an_item_of_very_many_sets(spark, monkeypatch):
+    """One item in all of 3000 sets: its pairs are counted in blocks, in slices where a node holds many, and none is lost."""
+    n = 3000
+    r = spark.range(n).selectExpr("concat('s', id) person_id", "'all' image_name").unionByName(
+        spark.range(n).selectExpr("concat('s', id) person_id", "concat('own', id div 2) image_name"))
+    o = overlap.set_overlaps(r, r.select("person_id"), item_sets=400)
+    got = o.groupBy("shared").count().collect()
+    assert {x.shared: x["count"] for x in got} == {1: n * (n - 1) // 2 - n // 2, 2: n // 2}
+    assert o.where("size_a <> 2 or size_b <> 2 or set_a >= set_b").isEmpty()
+    monkeypatch.setattr(overlap, "PAIRS_AT_ONCE", 1000)
+    monkeypatch.setattr(overlap, "PAIRS_HELD", 3000)
+    a, b, c = overlap.trie_overlaps(np.repeat(np.arange(3, dtype=np.uint64), 300), np.tile(np.arange(300), 3), 64)
+    assert len(a) == 300 * 301 // 2 and set(c.tolist()) == {3}
+
+
+def test_neighbour_blocks():
+    assert [together.blocks_for(n) for n in (0, 10, 16_000_000, 16_000_001, 10**9)] == [16, 16, 16, 32, 1024]
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_merger(size):
+    """Stripes of one key over any number of batches."""
+    import pyarrow as pa
+
+    rng = random.Random(size)
+    pairs = sorted((rng.randrange(4), rng.randrange(40)) for _ in range(500))
+    stripes = sorted(((a, b & 15, [b], [1]) for a, b in pairs), key=lambda x: x[:2])
+    cols = [pa.array([x[i] for x in stripes], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())))]
+    batches = pa.Table.from_arrays(cols, names=["a", "blk", "nb", "cnt"]).to_batches(max_chunksize=size)
+    got = {(a, b): c for x in together._merger(2, 16)(iter(batches)) for a, b, c in zip(*(x.column(i).to_pylist() for i in range(3)))}
+    assert got == {p: pairs.count(p) for p in set(pairs) if pairs.count(p) >= 2}
+
+
 @pytest.mark.parametrize("limit", [1000, 8])
 def test_together(spark, limit):
     """Also with baskets that are cut into blocks."""
