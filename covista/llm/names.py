@@ -1,14 +1,17 @@
 """Variant spellings of the names of persons and organisations, linked.
 
-1. A name is parsed into a *core* (family name, or an organisation's name without its
-   legal form), given names in order, and initials; titles fall away. Names of one
-   parse are one node, however many rows hold them.
+1. What the corpus itself tells is learned first: the words of organisations (those that
+   stand behind the first word of many names with a legal form), and from the list of
+   short forms how short forms are made. A name is parsed into a *core* (family name, or
+   the own words of an organisation; its legal form falls away and its other words
+   stand beside), given names in order, and initials; titles fall away. Names of one parse are one node, however many rows hold them.
 2. Cores meet by MinHash banding over padded q-grams; the number of bands follows from
    the collision curve and a target recall. Cores whose allowed edits leave fewer q-grams
    in common than that meet by what is left when letters are taken out: every pair within
    the allowed edits has such a rest in common. Core pairs are verified by edit distance.
 3. Nodes with linked cores and a given name in common (as a spelling, a short form or an
-   initial) are compared by Monge-Elkan similarity.
+   initial) are compared by Monge-Elkan similarity: of each word its best match anywhere in
+   the other name, weighted by how rare the words are in the corpus.
 4. Links are clustered into stars: fully written names are centres, in order of rank, and
    each other name joins its most similar centre. A name that would fit several persons
    (an initial, a short form of several names) joins none of them.
@@ -16,7 +19,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 import math
 import re
@@ -27,6 +29,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,22 +41,15 @@ from covista.session import materialise
 # Words that name no one.
 TITLES = {"mr", "mrs", "ms", "miss", "mx", "dr", "prof", "sir", "rev", "hon", "herr", "frau", "mme", "sr", "jr", "phd", "md", "esq"}
 LEGAL = {"co", "company", "ltd", "limited", "inc", "incorporated", "gmbh", "sons", "corp", "corporation", "llc", "plc", "sa", "ag", "kg", "bv"}
-# Words of organisations, with their short forms.
-ORGANISATION = {
-    "archive": "archive", "arch": "archive", "association": "association", "assoc": "association", "assn": "association",
-    "camera": "camera", "film": "film", "films": "film", "gallery": "gallery", "gall": "gallery", "group": "group",
-    "grp": "group", "house": "house", "hse": "house", "imaging": "imaging", "img": "imaging", "international": "international",
-    "intl": "international", "int": "international", "news": "news", "photo": "photo", "picture": "picture", "pic": "picture",
-    "press": "press", "ph": "photo", "print": "print", "society": "society", "soc": "society", "studio": "studio", "studios": "studio",
-    "works": "works", "wks": "works",
-}
 # A Cyrillic letter in Latin letters.
 CYRILLIC = dict(zip("абвгдеёжзийклмнопрстуфхцчшщъыьэюя",
                     "a b v g d e e j z i i k l m n o p r s t u f h ts ch sh shch _ i _ e iu ia".split()))
 # Spellings that stand for one sound.
 SOUNDS = (("ph", "f"), ("th", "f"), ("ck", "k"), ("c", "k"), ("q", "k"), ("w", "v"), ("z", "s"), ("y", "i"), ("x", "ks"))
-# Endings of short forms.
-SHORT_ENDINGS = ("io", "sy", "ko", "ie", "si", "i", "o", "y")
+#: A word is one of organisations if this share of the names with a legal form (and two of them) hold it behind their first word.
+ORGANISATION_SHARE = 0.01
+#: A way of making short forms counts if this share of the listed short forms (and two of them) are made so.
+SHORT_SHARE = 0.02
 
 QGRAM = 3
 #: Minhashes in a band, and the similarity of core spellings (Jaccard of q-grams) that must meet with the target recall.
@@ -69,6 +65,10 @@ LEAST_SIMILARITY = 0.8
 VAGUE_MARGIN = 0.02
 #: The list of short forms is broadcast up to this many rows.
 MAX_FORMS = 500_000
+#: A core with more nodes is cut into blocks of about so many, and pairs of blocks are compared apart.
+CORE_NODES = 5000
+#: What the part of the similarity that the longer name has on its side adds to the score: of equal matches the one that leaves less open ranks first.
+OTHER_WAY = 0.2
 
 
 def bands_for(similarity: float = TARGET_SIMILARITY, recall: float = TARGET_RECALL, rows: int = BAND_ROWS) -> int:
@@ -139,9 +139,9 @@ def edits(a: str, b: str, most: int) -> int:
 
 
 class Parser:
-    """Parses names against a list of given names and their known short forms."""
+    """Parses names against a list of given names and their known short forms, and the words of organisations."""
 
-    def __init__(self, forms: list[tuple[str, str]]):
+    def __init__(self, forms: list[tuple[str, str]], organisation: tuple[str, ...] = ()):
         #: given names by sound, as written in Latin letters
         self.given = {sound(latin(g)): latin(g) for _, g in forms}
         written = set(self.given.values())
@@ -158,6 +158,28 @@ class Parser:
                 for shape in self._deletions(x):
                     self.by_shape[shape].add(x)
         self._near: dict[str, frozenset] = {}
+        self._rule: dict[str, frozenset] = {}
+        self._parts: dict[str, set[str]] = defaultdict(set)
+        for g in self.given.values():
+            for i in range(len(g) - 1):
+                self._parts[g[i : i + 2]].add(g)
+        self.ways = self._learn_ways()
+        self.organisation = {w: w for w in organisation}
+        self.organisation |= {w + "s": w for w in organisation if w + "s" not in self.organisation}
+        self._organisation_word: dict[str, str | None] = {}
+
+    def _learn_ways(self) -> list[tuple[str, str, bool, int]]:
+        """How the listed short forms are made: (letters before, letters behind, from the beginning of the given name, letters kept at least)."""
+        seen: dict[tuple, list[int]] = defaultdict(list)
+        for s, gs in self.short.items():
+            for g in gs:
+                kept, at = max(((j - i, -i), i) for i in range(len(s)) for j in range(i + 1, len(s) + 1) if s[i:j] in g)
+                kept = kept[0]
+                if kept >= 2:
+                    start = at == 0 and g.startswith(s[:kept])
+                    seen[s[:at], s[at + kept :], start].append(kept)
+        least = max(2, SHORT_SHARE * len(self.short))
+        return sorted((a, e, start, min(k)) for (a, e, start), k in seen.items() if len(k) >= least and a + e)
 
     @staticmethod
     def _deletions(w: str):
@@ -188,16 +210,20 @@ class Parser:
     def known_short(self, w: str) -> set[str]:
         return self.short.get(w) or self.short_sound.get(sound(w)) or set()
 
-    def by_rule(self, w: str, endings: bool = True) -> set[str]:
-        """Given names an unlisted short form may stand for: a beginning, or a part with a usual ending."""
-        out = {g for g in self.given.values() if len(w) >= 3 and g.startswith(w)}
-        for e in SHORT_ENDINGS if endings else ():
-            stem = w[: -len(e)]
-            if w.endswith(e) and len(stem) >= 3:
-                out |= {g for g in self.given.values() if g.startswith(stem)}
-            if w.endswith(e) and len(stem) >= 2 and e in ("ko", "io", "sy"):
-                out |= {g for g in self.given.values() if stem in g}
-        return out
+    def by_rule(self, w: str, ways: bool = True) -> frozenset:
+        """Given names an unlisted short form may stand for: their beginning, or made of them in a way that listed forms are."""
+        key = w + "+" * ways
+        if key not in self._rule:
+            stems = [(w, True)] if len(w) >= 3 else []
+            for a, e, start, least in self.ways if ways else ():
+                stem = w[len(a) : len(w) - len(e)]
+                if len(stem) >= max(least, 3 if start and len(e) < 2 else 2) and w.startswith(a) and w.endswith(e):
+                    stems.append((stem, start))
+            out = {g for stem, start in stems for g in self._parts.get(stem[:2], ()) if (g.startswith(stem) if start else stem in g)}
+            if len(self._rule) >= 500_000:
+                return frozenset(out)
+            self._rule[key] = frozenset(out)
+        return self._rule[key]
 
     def _words(self, name: str) -> tuple[list[str], int]:
         """Words of a name, split where a space is missing; and how many stand before a comma (0: none)."""
@@ -240,22 +266,63 @@ class Parser:
             return None
         return self._person(words, before)
 
+    def organisation_word(self, w: str) -> str | None:
+        """The word of organisations that w is, with a slip in a longer one."""
+        if w not in self._organisation_word:
+            k = self.organisation.get(w)
+            if k is None and len(w) >= 4:
+                k = next((v for o, v in sorted(self.organisation.items()) if len(o) >= 5 and abs(len(o) - len(w)) <= 1 and edits(o, w, 1) <= 1), None)
+            if len(self._organisation_word) >= 500_000:
+                return k
+            self._organisation_word[w] = k
+        return self._organisation_word[w]
+
+    def _abbreviated(self, w: str) -> str | None:
+        """The word of organisations that w shortens: its first letter and some of the others in order."""
+        if not 2 <= len(w) <= 5 or sound(w) in self.given or self.known_short(w):
+            return None
+
+        def fits(o: str) -> bool:
+            rest = iter(o)
+            return o[0] == w[0] and len(o) > len(w) and all(c in rest for c in w)
+
+        found = [o for o in sorted(self.organisation) if fits(o)]
+        # a beginning comes before letters picked from within, and of those the word with the same last letter
+        return min(found, key=lambda o: (not o.startswith(w), o[-1] != w[-1], len(o)), default=None) if found else None
+
+    def _run_together(self, text: str) -> list[str] | None:
+        """The one or two words of organisations that ``text`` is with up to two slips (spaces lost or misplaced)."""
+        if len(text) < 6:
+            return None
+        kinds = sorted(set(self.organisation.values()))
+        ways = [[o] for o in kinds] + [[o, q] for o in kinds for q in kinds if abs(len(o) + len(q) - len(text)) <= 2]
+        found = min(((edits("".join(x), text, 2), x) for x in ways), default=(3, None))
+        return found[1] if found[0] <= 2 else None
+
     def _organisation(self, words: list[str]):
-        body, marks, legal = [], 0, 0
+        """core: the own words, run together; givens: the words of organisations among the others, in order of the alphabet."""
+        own, kinds, legal, long, tail = [], [], 0, False, ""
+        if len(words) > 2 and 3 <= len(words[0]) <= 4 and edits(words[0], "the", 1) <= 1:
+            words = words[1:]
         for w in words:
             if w in ("the", "and"):
                 continue
             if w in LEGAL:
                 legal += 1
                 continue
-            k = ORGANISATION.get(w) or next((v for o, v in ORGANISATION.items() if len(o) >= 5 and abs(len(o) - len(w)) <= 1
-                                             and edits(o, w, 1) <= 1), None)
-            marks += k is not None
-            body.append(k or w)
-        if body and (marks >= 2 or (marks and legal) or (legal and len(body) >= 2 and words[-1] in LEGAL)
-                     or any(w in ORGANISATION and len(w) >= 6 for w in body)):
-            return ("org", "".join(body), (), ""), legal
-        return None, legal
+            k = self.organisation_word(w)
+            long |= k is not None and len(k) >= 6
+            if k is None and (own or kinds) and (k := self._abbreviated(w)):
+                k = self.organisation[k]
+            tail += w if own else ""
+            (own if k is None else kinds).append(k or w)
+        if not own:  # a name of nothing but such words: the first is its own
+            own, kinds = kinds[:1], kinds[1:]
+        if not own or not (len(kinds) >= 2 or (kinds and legal) or (legal and len(own) >= 2 and words[-1] in LEGAL) or long):
+            return None, legal
+        if len(own) > 1 and (more := self._run_together(tail)):
+            own, kinds = own[:1], more
+        return ("org", "".join(own), tuple(sorted(kinds)), ""), legal
 
     def _person(self, words: list[str], before: int) -> tuple:
         kinds = []
@@ -296,7 +363,7 @@ class Parser:
             elif k == "g":
                 givens.append(self.given[sound(w)])
             elif k == "s":
-                givens.append("|".join(sorted(self.known_short(w) | self.by_rule(w, endings=False) | {w + "~"})))
+                givens.append("|".join(sorted(self.known_short(w) | self.by_rule(w, ways=False) | {w + "~"})))
             elif k == "n":
                 givens.append("|".join(sorted(self.near(w))))
             else:
@@ -357,12 +424,12 @@ def core_rests(core: str) -> set[str]:
     """
     most = allowed_edits(len(sound(core)))
     out = set()
-    for kind, t in (("s", sound(core)), ("l", core)):
+    for t in {sound(core), core}:
         if len(t) <= WHOLE:
-            out |= {f"{kind}w{r}" for r in _rests(t, most)}
+            out |= {f"w{r}" for r in _rests(t, most)}
         if len(t) >= 2 * END:
-            out |= {f"{kind}a{r}" for r in _rests(t[:END], (most + 1) // 2)}
-            out |= {f"{kind}z{r}" for r in _rests(t[-END:], (most + 1) // 2)}
+            out |= {f"a{r}" for r in _rests(t[:END], (most + 1) // 2)}
+            out |= {f"z{r}" for r in _rests(t[-END:], (most + 1) // 2)}
     return out
 
 
@@ -376,38 +443,60 @@ def core_distance(a: str, b: str) -> int:
     return d if d <= most else 99
 
 
-def name_similarity(kind: str, core_a: str, givens_a: tuple, core_b: str, givens_b: tuple) -> float:
-    """Monge-Elkan similarity: the mean, over the parts of the name with fewer, of the best similarity in the other.
+def word_weights(counts: dict[str, int], names: int) -> dict[str, float]:
+    """How much a given name or initial tells: the logarithm of how rare it is; a common one still counts a little."""
+    return {w: 1.0 + math.log(max(1.0, names / n)) for w, n in counts.items()}
+
+
+def weight_of(given: str, weights: dict[str, float], other: float) -> float:
+    """Weight of a part of a name: of alternatives that of the most common one; unlisted forms are as rare as words get."""
+    return min((weights.get(x, other) for x in given.split("|") if not x.endswith("~")), default=other)
+
+
+def _one_way(own: list[tuple[float, float]]) -> float:
+    """Weighted mean of (weight, best similarity)."""
+    return sum(w * s for w, s in own) / sum(w for w, _ in own)
+
+
+def name_similarity(kind: str, core_a: str, givens_a: tuple, core_b: str, givens_b: tuple, core_weight: float = 2.0,
+                    weights: dict[str, float] | None = None, rare: float = 1.0) -> float:
+    """Monge-Elkan similarity: the weighted mean, over the words of the name with fewer, of the best similarity anywhere in the other.
 
-    Parts keep their place: a first given name is compared with a first one; a middle
-    name that only one of the names has is passed over, one that both have must agree.
+    What the other name has besides weighs little (OTHER_WAY), and only in the score. A
+    first given name must be the other's first one, unless all given names are there in
+    another order: a person who shares a middle name with another is somebody else.
     """
     d = core_distance(core_a, core_b)
     if d == 99:
         return 0.0
     s_core = 1 - d / max(len(core_a), len(core_b))
     if kind == "org":
-        return s_core if s_core >= 0.8 else 0.0
+        # the words of organisations must be the same; they are told apart by the own words
+        s_all = 1 - d / (max(len(core_a), len(core_b)) + len("".join(givens_a)))
+        return s_all if givens_a == givens_b and s_all >= LEAST_SIMILARITY else 0.0
     if not givens_a or not givens_b:
         return s_core if not givens_a and not givens_b else 0.0
-    first = given_similarity(givens_a[0], givens_b[0])
-    known = bool(full(givens_a) and full(givens_b))
-    parts = [first]
-    for x, y in zip(givens_a[1:], givens_b[1:]):
+    few, more = sorted((givens_a, givens_b), key=len)
+    s = [[given_similarity(x, y) for y in more] for x in few]
+    known = bool(full(few) and full(more))
+    if s[0][0] < 0.7 and not (len(few) == len(more) > 1 and all(max(row) >= 1 for row in s) and all(max(col) >= 1 for col in zip(*s))):
+        return 0.0
+    w = [weight_of(x, weights or {}, rare) for x in few]
+    own = [(core_weight, s_core), (w[0], max(s[0]))]
+    for i in range(1, len(few)):
+        best = max(s[i])
         # middle initials are typed in or left out freely; only beside a bare first initial must one fit a written name
-        one = x.endswith(".") + y.endswith(".")
-        if one == 2 and x != y or one == 1 and known:
+        one = few[i].endswith(".") + more[i].endswith(".")
+        if one == 2 and few[i] != more[i] or one == 1 and known:
             continue
-        parts.append(given_similarity(x, y))
-    if min(parts) < 0.7:
-        # first and middle name may have changed places if both are there in full
-        if not (len(givens_a) == len(givens_b) == 2 and given_similarity(givens_a[0], givens_b[1]) >= 1
-                and given_similarity(givens_a[1], givens_b[0]) >= 1):
+        if best < 0.7:
             return 0.0
-        parts = [1.0, 1.0]
-    if (parts[0] < 1 or not known) and d > (1 if len(core_a) < 9 else 2):
+        own.append((w[i], best))
+    if (max(s[0]) < 1 or not known) and d > (1 if len(core_a) < 9 else 2):
         return 0.0
-    return (2 * s_core + sum(parts)) / (2 + len(parts)) + 0.05 * (len(parts) - 1)
+    back = [(core_weight, s_core)] + [(weight_of(y, weights or {}, rare), max(row[j] for row in s)) for j, y in enumerate(more)]
+    one = _one_way(own)
+    return one + OTHER_WAY * _one_way(back) if one >= LEAST_SIMILARITY else 0.0
 
 
 # --- Spark ---------------------------------------------------------------------------------------------------------
@@ -427,23 +516,43 @@ _PARSED = T.StructType([T.StructField("kind", T.StringType()), T.StructField("co
                         T.StructField("givens", T.ArrayType(T.StringType()))])
 
 
+def organisation_words(people: DataFrame) -> list[str]:
+    """Words that stand behind the first word of many plainly written names with a legal form.
+
+    Counted over all names. A name has so many words, so no more than that many times 1 / ORGANISATION_SHARE can be that frequent: the list is small.
+    """
+    words = F.filter(F.split(F.lower("name"), "[^a-z]+"), lambda w: ~w.isin("", "the", "and"))
+    legal = people.select("name").where("name is not null").distinct().select(words.alias("ws")).where(
+        F.arrays_overlap("ws", F.array(*map(F.lit, sorted(LEGAL)))))
+    content = F.filter("ws", lambda w: ~w.isin(*LEGAL) & (F.length(w) > 2))
+    behind = legal.select(F.explode(F.array_distinct(F.slice(content, 2, 1_000_000))).alias("w"))
+    least = legal.agg(F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) * ORGANISATION_SHARE)).alias("n")).first()[0]
+    return sorted(r[0] for r in behind.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("w").collect())
+
+
 def parsed_names(people: DataFrame, forms: DataFrame) -> DataFrame:
-    """(person_id, kind, core, givens) of every name that means somebody; repeated rows once."""
-    shared = people.sparkSession.sparkContext.broadcast(_forms(forms))
+    """(person_id, kind, core, givens) of every name that means somebody.
+
+    Parsed in the tasks of the scan (a name that a batch repeats once) and written, so that no name is parsed again by what reads the result.
+    """
+    shared = people.sparkSession.sparkContext.broadcast((_forms(forms), tuple(organisation_words(people))))
 
     def parse_all(s: pd.Series) -> pd.DataFrame:
         key = id(shared)
         if key not in _parsers:
             _parsers.clear()
-            _parsers[key] = Parser(shared.value)
-        p = _parsers[key]
-        rows = [p.parse(x) or (None, None, None, None) for x in s]
+            _parsers[key] = Parser(*shared.value)
+        p, seen = _parsers[key], {}
+        for x in s:
+            if x not in seen:
+                seen[x] = p.parse(x) or (None, None, None, None)
+        rows = [seen[x] for x in s]
         return pd.DataFrame({"kind": [r[0] for r in rows], "core": [r[1] for r in rows],
                              "givens": [list(r[2]) if r[2] is not None else None for r in rows]})
 
-    rows = people.select("person_id", "name").where("person_id is not null and name is not null").distinct()
-    return rows.select("person_id", pandas_udf(parse_all, _PARSED)("name").alias("p")).where("p.core <> ''").select(
-        "person_id", "p.kind", "p.core", "p.givens")
+    rows = people.select("person_id", "name").where("person_id is not null and name is not null")
+    parsed = materialise(rows.select("person_id", pandas_udf(parse_all, _PARSED)("name").alias("p")), "names")
+    return parsed.where("p.core <> ''").select("person_id", "p.kind", "p.core", "p.givens")
 
 
 def _bands(batches):
@@ -466,11 +575,10 @@ def _bands(batches):
                 k = (k ^ m[:, r]) * np.uint64(0xBF58476D1CE4E5B9)
                 k ^= k >> np.uint64(30)
             k ^= np.arange(bands, dtype=np.uint64) * np.uint64(0x94D049BB133111EB)
-            rests = [int.from_bytes(hashlib.blake2b(r.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-                     for r in core_rests(core)]
+            rests = np.fromiter((xxhash.xxh64_intdigest(r.encode("utf-8", "surrogatepass")) for r in core_rests(core)), np.uint64).view(np.int64)
             cores += [core] * (bands + len(rests))
             sounds += [sound(core)] * (bands + len(rests))
-            keys += [k.view(np.int64), np.array(rests, np.int64)]
+            keys += [k.view(np.int64), rests]
         yield pa.RecordBatch.from_arrays(
             [pa.array(cores, pa.string()), pa.array(sounds, pa.string()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))],
             names=["core", "snd", "band"])
@@ -478,30 +586,48 @@ def _bands(batches):
 
 def core_links(cores: DataFrame) -> DataFrame:
     """(core_a, core_b), core_a < core_b: different spellings of a core within the allowed edits."""
-    bands = cores.select("core").mapInArrow(_bands, "core string, snd string, band long")
+    # few bytes and much work a core: spread over the cluster, whatever the planner would make of the bytes
+    tasks = 2 * cores.sparkSession.sparkContext.defaultParallelism
+    bands = cores.select("core").repartition(tasks, F.xxhash64("core")).mapInArrow(_bands, "core string, snd string, band long")
     a, b = bands.alias("a"), bands.alias("b")
-    # a cheap bound first (plain edit distance with a cut-off, in the JVM), then one row a pair, then the exact rule
-    close = F.lit(False)
-    for c in ("snd", "core"):
-        close |= (F.abs(F.length(f"a.{c}") - F.length(f"b.{c}")) <= 3) & (F.levenshtein(f"a.{c}", f"b.{c}", 6) >= 0)
+    # first in the JVM, by the plain edit distance with a cut-off: what is within the allowed edits is one, what is beyond twice
+    # as many (a swap counts two) is none, and only what lies between is left to the exact rule
+    shorter = F.least(F.length("a.snd"), F.length("b.snd"))
+
+    def within(times: int):
+        hit = F.col("a.snd") == F.col("b.snd")
+        for most in (1, 2, 3):
+            near = F.lit(False)
+            for c in ("snd", "core"):
+                near |= (F.abs(F.length(f"a.{c}") - F.length(f"b.{c}")) <= most) & (F.levenshtein(f"a.{c}", f"b.{c}", times * most) >= 0)
+            lo, hi = next(n for n in range(99) if allowed_edits(n) == most), next((n for n in range(99) if allowed_edits(n) > most), None)
+            hit |= (shorter >= lo) & (shorter < hi if hi else F.lit(True)) & near
+        return hit
+
     # the planner can't see that a core becomes as many rows as there are bands: never to be broadcast
-    met = a.join(b.hint("merge"), (F.col("a.band") == F.col("b.band")) & (F.col("a.core") < F.col("b.core")) & close).select(
-        F.col("a.core").alias("core_a"), F.col("b.core").alias("core_b")).distinct()
+    met = a.join(b.hint("merge"), (F.col("a.band") == F.col("b.band")) & (F.col("a.core") < F.col("b.core")) & within(2)).select(
+        F.col("a.core").alias("core_a"), F.col("b.core").alias("core_b"), within(1).alias("sure")).distinct()
 
     def near(batches):
         for x in batches:
-            keep = [core_distance(p, q) < 99 for p, q in zip(x.column(0).to_pylist(), x.column(1).to_pylist())]
-            yield x.filter(pa.array(keep, pa.bool_()))
+            keep = [s or core_distance(p, q) < 99 for p, q, s in zip(*(x.column(i).to_pylist() for i in range(3)))]
+            yield x.select(["core_a", "core_b"]).filter(pa.array(keep, pa.bool_()))
 
     return met.mapInArrow(near, "core_a string, core_b string")
 
 
-def name_links(nodes: DataFrame) -> DataFrame:
-    """(a, b, score): similar nodes, each pair in both directions. nodes: node, kind, core, givens, rank."""
-    cores = nodes.select("core").distinct()
+def name_links(nodes: DataFrame, core_nodes: int = CORE_NODES) -> DataFrame:
+    """(a, b, score): similar nodes, each pair in both directions. nodes: node, kind, core, givens, n.
+
+    Of a core with very many nodes pairs of blocks of nodes meet, not all in one group.
+    """
+    total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    cores = nodes.groupBy("core").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("nodes")).select(
+        "core", (1 + F.log(F.lit(float(max(1, total))) / F.col("n"))).alias("weight"), F.ceil(F.col("nodes") / core_nodes).cast("int").alias("g"))
     links = core_links(cores)
     both = links.unionByName(links.select(F.col("core_b").alias("core_a"), F.col("core_a").alias("core_b"))).unionByName(
-        cores.select(F.col("core").alias("core_a"), F.col("core").alias("core_b")))
+        cores.select(F.col("core").alias("core_a"), F.col("core").alias("core_b"))).join(
+        cores.select(F.col("core").alias("core_b"), F.col("weight").alias("weight_b"), F.col("g").alias("g_b")), "core_b")
 
     # Two names known in full meet under a given name that both have. Only loose ones (with an initial or an
     # unlisted form) meet others by first letter, so that a common family name yields no pairs of strangers.
@@ -510,22 +636,34 @@ def name_links(nodes: DataFrame) -> DataFrame:
     names_ = F.transform(F.filter(alternatives, lambda x: ~x.rlike(r"[.~]$")), lambda x: F.concat(F.lit("g:"), x))
     letters = F.transform(alternatives, lambda x: F.concat(F.lit("l:"), F.substring(x, 1, 1)))
     bare = F.when(F.col("kind") == "org", F.array(F.lit("#"))).when(F.size("givens") == 0, F.array(F.lit("*")))
-    every = nodes.withColumn("meet", F.explode(F.array_distinct(F.coalesce(bare, F.concat(names_, letters)))))
-    asking = nodes.withColumn("meet", F.explode(F.array_distinct(F.coalesce(bare, F.when(loose, F.concat(names_, letters)).otherwise(names_)))))
+    weighed = nodes.join(cores, "core")
+    block = lambda g: F.pmod(F.xxhash64("node"), F.col(g)).cast("int")
+    every = weighed.withColumn("meet", F.explode(F.array_distinct(F.coalesce(bare, F.concat(names_, letters)))))
+    asking = weighed.withColumn("meet", F.explode(F.array_distinct(F.coalesce(bare, F.when(loose, F.concat(names_, letters)).otherwise(names_)))))
     left = asking.join(both, asking["core"] == both["core_a"]).select(
-        F.col("core_b").alias("core"), "meet", F.struct("node", "kind", "core", "givens").alias("x"))
-    right = every.select("core", "meet", F.struct("node", "kind", "core", "givens").alias("y"))
-    met = left.join(right, ["core", "meet"]).where("x.node <> y.node and x.kind = y.kind")
+        F.col("core_b").alias("core"), "meet", block("g_b").alias("i"), F.explode(F.sequence(F.lit(0), F.col("g_b") - 1)).alias("j"),
+        F.struct("node", "kind", asking["core"], "givens", "weight").alias("x"))
+    right = every.select("core", "meet", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("i"), block("g").alias("j"),
+                         F.struct("node", "kind", "core", "givens", "weight").alias("y"))
+    met = left.join(right, ["core", "meet", "i", "j"]).where("x.node <> y.node and x.kind = y.kind")
     pairs = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
-    def compare(it):
-        for pdf in it:
-            s = [name_similarity(x["kind"], x["core"], tuple(x["givens"]), y["core"], tuple(y["givens"]))
-                 for x, y in zip(pdf["x"], pdf["y"])]
-            out = pd.DataFrame({"a": [x["node"] for x in pdf["x"]], "b": [y["node"] for y in pdf["y"]], "score": s})
-            yield out[out["score"] >= LEAST_SIMILARITY]
+    # given names of the list and initials: no more than the list and the letters there are
+    part = F.explode(F.filter(F.array_distinct(alternatives), lambda x: ~x.endswith("~")))
+    often = nodes.select(part.alias("w"), "n").groupBy("w").agg(F.sum("n").alias("n")).collect()
+    weights, rare = word_weights({r.w: r.n for r in often}, total), 1 + math.log(max(1, total))
+    shared = nodes.sparkSession.sparkContext.broadcast(weights)
 
-    one = pairs.mapInPandas(compare, "a string, b string, score double")
+    def compare(it):
+        for b in it:
+            x, y = b.column(0).to_pylist(), b.column(1).to_pylist()
+            s = [name_similarity(p["kind"], p["core"], tuple(p["givens"]), q["core"], tuple(q["givens"]), max(p["weight"], q["weight"]), shared.value, rare)
+                 for p, q in zip(x, y)]
+            keep = [i for i, v in enumerate(s) if v >= LEAST_SIMILARITY]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i]["node"] for i in keep], pa.string()), pa.array([y[i]["node"] for i in keep], pa.string()),
+                                              pa.array([s[i] for i in keep], pa.float64())], names=["a", "b", "score"])
+
+    one = materialise(pairs.mapInArrow(compare, "a string, b string, score double"), "name-links")
     return one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
 
 
@@ -596,7 +734,7 @@ def name_entities(people: DataFrame, forms: DataFrame) -> DataFrame:
     people: person_id, name; forms: short_form, given_name. Null and blank names and bare
     labels with a number mean nobody and are left out, as are null ids; repeated rows count once.
     """
-    parsed = materialise(parsed_names(people, forms), "names")
+    parsed = parsed_names(people, forms).distinct()
     key = F.concat_ws("\x1f", "kind", "core", F.concat_ws(" ", "givens"))
     rows = parsed.withColumn("node", key)
     first = F.when((F.size("givens") > 0) & ~F.col("givens")[0].rlike(r"[|~.]"), F.col("givens")[0]).otherwise(F.lit(""))
@@ -606,7 +744,7 @@ def name_entities(people: DataFrame, forms: DataFrame) -> DataFrame:
     # fully written names first, then names held by more rows, then by text
     ranks = nodes.select("node", F.struct(
         (F.col("first") != "").alias("full"), (F.size("givens") > 1).alias("middle"), F.col("n"), F.col("node").alias("t")).alias("rank"))
-    links = materialise(name_links(nodes), "name-links")
+    links = name_links(nodes)
     star = stars(_unambiguous(links, nodes), ranks)
     return rows.select("person_id", "node").join(star, "node").select("person_id", F.col("centre").alias("entity"))
 

@@ -29,10 +29,44 @@ def test_nobody(name):
 
 
 def test_organisations():
+    P = names.Parser(FORMS, ("film", "works", "group"))
+    assert P.parse("Skedra FilmW irks Ltd") == P.parse("Skedra Flim Works Ltd") == ("org", "skedra", ("film", "works"), "")
+    assert P.parse("Skedra Film Grp")[2] == ("film", "group")
     a = {P.parse(n) for n in ("Skedra Film Works Ltd", "The Skedra Film Works Limited", "SKEDRA FILM WORKS & SONS", "Skedra Film Works")}
     assert len(a) == 1 and a.pop()[0] == "org"
 
 
+def test_organisation_words_are_learned(spark):
+    r = [(f"{x} Film Works {y}",) for x in ("Skedra", "Pluvan", "Mitor") for y in ("Ltd", "& Co", "GmbH")] + [("Jebim Skedra",), (None,), ("Hab Mitor Ltd",)]
+    assert names.organisation_words(spark.createDataFrame(r, "name string")) == ["film", "works"]
+    assert names.organisation_words(spark.createDataFrame([], "name string")) == []
+
+
+def test_ways_of_short_forms_are_learned():
+    p = names.Parser([("Rodio", "Rodan"), ("Habio", "Habrodain"), ("Driko", "Habdri"), ("Roko", "Habrodain"), ("Nudriki", "Habdri"), ("Nuroki", "Habrodain"), ("Q", "Quent")])
+    assert {(a, e) for a, e, _, _ in p.ways} == {("", "io"), ("", "ko"), ("nu", "ki")}
+    assert p.by_rule("dainko") == {"habrodain"} and p.by_rule("nudainki") == {"habrodain"} and p.by_rule("quenio") == {"quent"} and p.by_rule("zz") == set()
+
+
+def test_monge_elkan():
+    """Rare words weigh more; order counts only for the first given name; what one name lacks weighs little."""
+    w = {"jebim": 2.0, "todutram": 2.0, "j.": 1.0}
+    same = names.name_similarity("person", "retheshadru", ("jebim",), "rethesadru", ("jebim",), 8.0, w, 9.0)
+    assert 0.8 <= same < 1.2 and names.name_similarity("person", "retheshadru", ("jebim",), "retheshadru", ("jebim",), 8.0, w, 9.0) == pytest.approx(1.2)
+    swapped = names.name_similarity("person", "retheshadru", ("jebim", "todutram"), "retheshadru", ("todutram", "jebim"), 8.0, w, 9.0)
+    assert swapped == pytest.approx(1.2)
+    assert names.name_similarity("person", "retheshadru", ("jebim",), "retheshadru", ("todutram", "jebim"), 8.0, w, 9.0) == 0
+    assert names.name_similarity("org", "skedra", ("film", "works"), "skedra", ("film", "house")) == 0
+
+
+def test_core_of_very_many_nodes(spark):
+    """One core in blocks gives the links of one core whole."""
+    r = [("person\x1fretheshadru\x1f" + g, "person", "retheshadru", [g], 1) for g in ("jebim", "jebim|jeb~", "j.", "habrodain", "todutram", "t.", "x~")]
+    nodes = spark.createDataFrame(r, "node string, kind string, core string, givens array<string>, n long")
+    whole = rows(names.name_links(nodes))
+    assert whole and rows(names.name_links(nodes, core_nodes=2)) == whole
+
+
 def test_edits():
     assert [names.edits(*x, 3) for x in (("abc", "abc"), ("abc", "acb"), ("abc", "ab"), ("abc", "xyz"), ("", "ab"))] == [0, 1, 1, 3, 2]
     assert names.edits("abcdef", "xyz", 1) == 2
