@@ -27,11 +27,14 @@ def replace_first(text: Column, pattern: str, value: Column) -> Column:
 
 
 def upsert_meta(html: Column, attr: str, key: str, content: Column) -> Column:
-    """Set a meta tag: the first one of that key is replaced, else one is put before the first ``</head>``."""
+    """Set a meta tag: the first one of that key is replaced, else one is put before the first ``</head>``; without either the text stays.
+
+    The text is split once, at the tag; only a text without the tag is looked through again.
+    """
     tag = F.concat(F.lit(f'<meta {attr}="{key}" content="'), content, F.lit('" />'))
-    pattern = rf'(?i)<meta\s+{attr}="{key}"\s+content="[^"]*"\s*/?>'
-    return F.when(html.rlike(pattern), replace_first(html, pattern, tag)).otherwise(
-        replace_first(html, r"(?i)</head>", F.concat(F.lit("  "), tag, F.lit("\n</head>"))))
+    parts = F.split(html, rf'(?i)<meta\s+{attr}="{key}"\s+content="[^"]*"\s*/?>', 2)
+    return F.transform(F.array(parts), lambda p: F.when(F.size(p) == 2, F.concat(p[0], tag, p[1])).otherwise(
+        replace_first(p[0], r"(?i)</head>", F.concat(F.lit("  "), tag, F.lit("\n</head>")))))[0]
 
 
 def inject_image(pages: DataFrame, html: str, image_url: Column) -> DataFrame:

@@ -102,6 +102,17 @@ def face_url(entity_id: Column, name: Column, face: Column, base: str) -> Column
     return F.when(f.isNotNull(), F.concat(F.lit(f"{base}/faces/"), label, F.lit("_"), f, F.lit(".webp")))
 
 
+def atlas_url(base: str, file: str = "atlas.webp") -> Column:
+    """Address of the sprite atlas at the CDN."""
+    return F.lit(f"{base.rstrip('/')}/atlas/{file}")
+
+
+def directory_url(base: str, limit: Column, offset: Column, classes: Column) -> Column:
+    """Address of a page of the directory: limit, offset and the class parameter (null leaves it out, '' is an empty choice)."""
+    return F.concat(F.lit(f"{base.rstrip('/')}/faces?limit="), limit.cast("string"), F.lit("&offset="), offset.cast("string"),
+                    F.when(classes.isNull(), F.lit("")).otherwise(F.concat(F.lit("&classes="), quote_component(classes))))
+
+
 def people_url(ids: Column) -> Column:
     """Canonical path of a set of ids: stripped, blanks dropped, sorted; null where none is left."""
     kept = F.array_sort(F.filter(F.transform(ids, lambda x: strip(F.coalesce(x, F.lit("")))), lambda x: x != ""))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -32,12 +33,37 @@ class SiteConfig:
             raise ValueError("max_k must be at least 1")
 
 
-ENTITY = T.StructType([
-    T.StructField("person_id", T.StringType()), T.StructField("name", T.StringType()),
-    T.StructField("best_face_id", T.StringType()), T.StructField("include_in_network", T.IntegerType()),
-    T.StructField("person_class", T.StringType()),
-])
-MEMBERSHIP = T.StructType([T.StructField("person_id", T.StringType()), T.StructField("image_name", T.StringType())])
+@dataclass(frozen=True)
+class StoreSettings:
+    """Where an object store's state lies. Every setting is needed; blank is unset."""
+
+    endpoint: str
+    bucket: str
+    key: str
+    secret: str
+    prefix: str = "covista.store."
+
+    @classmethod
+    def read(cls, settings: Mapping[str, str], prefix: str = "covista.store.") -> StoreSettings:
+        got = {x: setting(settings, prefix + x) for x in ("endpoint", "bucket", "key", "secret")}
+        if missing := sorted(k for k, v in got.items() if v is None):
+            raise ValueError(f"settings missing or blank: {', '.join(prefix + x for x in missing)}")
+        return cls(**got, prefix=prefix)
+
+    def hadoop(self) -> dict[str, str]:
+        """Hadoop settings of this bucket."""
+        at = f"fs.s3a.bucket.{self.bucket}."
+        return {at + "endpoint": self.endpoint, at + "access.key": self.key, at + "secret.key": self.secret}
+
+    def uri(self, path: str) -> str:
+        return f"s3a://{self.bucket}/{path.lstrip('/')}"
+
+
+def setting(settings: Mapping[str, str], name: str, default: str | None = None) -> str | None:
+    """A setting without the white space around it; a blank one counts as unset."""
+    return (settings.get(name) or "").strip() or default
+
+
 STATE_ENTRY = T.StructType([T.StructField("fingerprint", T.StringType()), T.StructField("lastmod", T.StringType())])
 STATE_V2 = T.StructType([T.StructField("version", T.IntegerType()), T.StructField("entries", T.MapType(T.StringType(), STATE_ENTRY)),
                          T.StructField("urls", T.MapType(T.StringType(), STATE_ENTRY))])

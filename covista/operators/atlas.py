@@ -4,28 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from covista.model import ATLAS
-from covista.session import materialise
+from covista.operators.pages import numbered_by
 
 
 def pack(keys: DataFrame, key: str, columns: int, tile: int) -> DataFrame:
-    """(key, x, y, w, h): the i-th key in binary order stands in column i mod ``columns``.
-
-    Numbered without a single-task window: keys are range-partitioned and sorted, each
-    partition is counted, and a key's number is its place plus the partitions before it.
-    """
+    """(key, x, y, w, h): the i-th key in binary order stands in column i mod ``columns``."""
     k = keys.select(F.col(key).alias("key")).where("key is not null").distinct()
-    ranged = k.repartitionByRange("key").withColumn("part", F.spark_partition_id())
-    ranged = materialise(ranged, "atlas-keys")  # range bounds are sampled: partition numbers must be computed once
-    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.select("part", F.coalesce(F.sum("n").over(
-        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("skip"))
-    w = Window.partitionBy("part").orderBy("key")
-    i = F.row_number().over(w) - 1 + F.col("skip")
-    # few rows: one a partition
-    return ranged.join(F.broadcast(before), "part").select("key", i.alias("i")).select(
+    return numbered_by(k, "key").select(
         "key", (F.col("i") % columns * tile).cast("int").alias("x"), (F.floor(F.col("i") / columns) * tile).cast("int").alias("y"),
         F.lit(tile).alias("w"), F.lit(tile).alias("h"))
 

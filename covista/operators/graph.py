@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from covista.operators import cooc
 
-def edges(members: DataFrame) -> DataFrame:
-    """(src, dst, weight), src < dst: entities with common items, and how many."""
-    m = members.select(F.xxhash64("image_name").alias("item"), "person_id")  # weights need no item names, and joins on longs are cheaper
-    a, b = m.alias("a"), m.alias("b")
-    pairs = a.join(b, (F.col("a.item") == F.col("b.item")) & (F.col("a.person_id") < F.col("b.person_id")))
-    return pairs.groupBy(F.col("a.person_id").alias("src"), F.col("b.person_id").alias("dst")).agg(F.count(F.lit(1)).alias("weight"))
+
+def edges(members: DataFrame, sets: int = cooc.SETS_OF_AN_ITEM) -> DataFrame:
+    """(src, dst, weight), src < dst: entities with common items, and how many: the sets of two, items of very many entities in blocks."""
+    coded, items = cooc.hashed(members)
+    return cooc._sets(coded, 2, items, sets).select(F.col("ids")[0].alias("src"), F.col("ids")[1].alias("dst"), F.col("image_total").alias("weight"))
 
 
 def both_ways(e: DataFrame) -> DataFrame:

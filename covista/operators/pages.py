@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from covista.functions import labels, markup, urls
 from covista.model import SiteConfig
+from covista.session import materialise
 
 
 def entity_labels(entities: DataFrame) -> DataFrame:
@@ -52,6 +53,26 @@ def manifest(combos: DataFrame, entities: DataFrame, cfg: SiteConfig) -> DataFra
         F.col("ids").alias("person_ids"), "image_total", "og_image_url")
 
 
+def manifest_envelope(m: DataFrame, site_origin: str | None = None) -> DataFrame:
+    """One row (site_origin, page_count) for a manifest."""
+    return m.agg(F.count(F.lit(1)).alias("page_count")).select(F.lit(site_origin).cast("string").alias("site_origin"), "page_count")
+
+
+def numbered_by(rows: DataFrame, key: str) -> DataFrame:
+    """rows with i, their number from 0 in the order of ``key``, without a single-task window over them.
+
+    Rows are range-partitioned and sorted, each partition is counted, and a row's number is its place plus
+    the partitions before it. Written once: range bounds are sampled, and partition numbers must be computed once.
+    """
+    ranged = materialise(rows.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "numbered")
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("_part", F.coalesce(F.sum("n").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_skip"))
+    w = Window.partitionBy("_part").orderBy(key)
+    # few rows: one a partition
+    return ranged.join(F.broadcast(before), "_part").withColumn("i", F.row_number().over(w) - 1 + F.col("_skip")).drop("_part", "_skip")
+
+
 def page_fingerprints(pages: DataFrame) -> DataFrame:
     """(entry_key, fingerprint): the slug, and the count of items as text."""
     return pages.select(labels.slug(F.col("ids")).alias("entry_key"), F.col("image_total").cast("string").alias("fingerprint"))
@@ -83,6 +104,7 @@ def _social(title: Column, desc: Column, address: Column, site: Column, locale:
             ("property", "og:site_name", site), ("property", "og:locale", locale), ("property", "og:type", F.lit("website"))]
 
 
+# The lines of a document's head that every page has.
 def _head(title: Column, desc: Column, address: Column, tags: Column) -> Column:
     """Document head; all values come escaped."""
     return F.concat(

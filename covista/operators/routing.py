@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covista.functions import documents, urls
-from covista.functions.space import strip
+from covista.functions.space import blank_to_null, strip
 from covista.model import SiteConfig
 
 PEOPLE = r"\A/search/people/[^/]+/?"
@@ -70,6 +70,11 @@ def first_by_prefix(prefixes: DataFrame, items: DataFrame) -> DataFrame:
     return p.join(hit, "prefix", "left")
 
 
+def photo_of(*fields: str) -> Column:
+    """The first field of a looked-up row that isn't empty, stripped; null where none is, or it is blank."""
+    return blank_to_null(F.coalesce(*[F.nullif(F.col(f), F.lit("")) for f in fields]))
+
+
 def active_link(paths: DataFrame, cfg: SiteConfig) -> DataFrame:
     """(path, link): the longest navigation link that is a beginning of the path ('/' only for itself); null without one."""
     links = sorted(cfg.nav_links, key=len, reverse=True)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covista.operators.snapshots import entry_fingerprint, entry_key, PEOPLE_PREFIX, url_path
 
 
-def read_entries(docs: DataFrame) -> DataFrame:
-    """(entry_key, fingerprint, lastmod) of state documents (version, entries, urls), both versions.
+def read_entries(docs: DataFrame, beside: tuple[str, ...] = ()) -> DataFrame:
+    """(*beside, entry_key, fingerprint, lastmod) of state documents (version, entries, urls, columns kept beside), both versions.
 
     Version 1, or no version and only ``urls``, is migrated; version 2, or no version
     with ``entries``, is taken as it is; another version, a missing map, an entry without
@@ -23,19 +23,19 @@ def read_entries(docs: DataFrame) -> DataFrame:
         .when(F.col("version").isNotNull() & need.isNull(), F.raise_error(F.lit("a state without entries")))
         .otherwise(need)
     )
-    e = docs.select(F.coalesce(old, F.lit(False)).alias("old"), F.explode(checked).alias("k", "v"))
+    e = docs.select(*beside, F.coalesce(old, F.lit(False)).alias("old"), F.explode(checked).alias("k", "v"))
     whole = F.when(F.col("v.fingerprint").isNull() | F.col("v.lastmod").isNull(),
                    F.raise_error(F.concat(F.lit("incomplete entry "), F.col("k")))).otherwise(F.col("k"))
-    return migrate_v1(e.where("old").select(whole.alias("url"), "v.fingerprint", "v.lastmod")).unionByName(
-        e.where("not old").select(whole.alias("entry_key"), "v.fingerprint", "v.lastmod"))
+    return migrate_v1(e.where("old").select(*beside, whole.alias("url"), "v.fingerprint", "v.lastmod"), beside=beside).unionByName(
+        e.where("not old").select(*beside, whole.alias("entry_key"), "v.fingerprint", "v.lastmod"))
 
 
-def migrate_v1(rows: DataFrame, core: tuple[str, ...] = ("/", "/search/", "/people/", "/about/")) -> DataFrame:
+def migrate_v1(rows: DataFrame, core: tuple[str, ...] = ("/", "/search/", "/people/", "/about/"), beside: tuple[str, ...] = ()) -> DataFrame:
     """(entry_key, fingerprint, lastmod) of version-1 rows (url, fingerprint, lastmod); an unknown address is an error."""
     path, one = url_path(F.col("url")), F.lit(1)
     known = path.isin(*core) | (path.startswith(PEOPLE_PREFIX) & (F.length(path) > len(PEOPLE_PREFIX)))
     key = F.when(~known, F.raise_error(F.concat(F.lit("unknown address "), F.col("url")))).otherwise(entry_key(F.col("url"), one))
-    return rows.select(key.alias("entry_key"), entry_fingerprint(F.col("url"), F.col("fingerprint"), one).alias("fingerprint"), "lastmod")
+    return rows.select(*beside, key.alias("entry_key"), entry_fingerprint(F.col("url"), F.col("fingerprint"), one).alias("fingerprint"), "lastmod")
 
 
 def merge_lastmod(new: DataFrame, previous: DataFrame, as_of: str) -> DataFrame:
@@ -63,6 +63,17 @@ def removed_keys(new: DataFrame, previous: DataFrame) -> DataFrame:
     return previous.select("entry_key").join(new.select("entry_key"), "entry_key", "left_anti")
 
 
+def shard_of(key: Column, shards: Column) -> Column:
+    """Shard of an entry: by a hash of its key, so shards are of even size whatever the keys look like."""
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % shards
+
+
+def sharded(entries: DataFrame, shard_entries: int) -> DataFrame:
+    """entries with ``shard``: as many shards as hold about ``shard_entries`` each, one at least."""
+    n = entries.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / shard_entries)).alias("n")).scalar()
+    return entries.withColumn("shard", shard_of(F.col("entry_key").cast("binary"), n))
+
+
 def state_json(entries: DataFrame, group: str) -> DataFrame:
     """(group, json): one version-2 document for each group of entries, sorted by key.
 

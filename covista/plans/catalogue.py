@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covista.functions import documents, labels, markup, palette, urls
-from covista.functions.space import WHITE_SPACE
+from covista.functions.space import WHITE_SPACE, strip
 from covista.model import METADATA, SiteConfig
 from covista.operators import atlas, cooc, directory, graph, heavykeys, membership, pages, routing, snapshots, state
 from covista.sources.tables import memberships, table
 
 CFG = SiteConfig()
 AS_OF = "2031-02-23"
-#: The snapshot that is the state before the published pages.
-STATE_SNAPSHOT = 5
+#: Entries in one document of the state that is written.
+SHARD_ENTRIES = 5000
 CHOSEN = ["person_1", "person_7", "person_12"]
 PREFIXES = ["lmp00000", "LMP0001", "LMP9", "x"]
 
@@ -81,7 +81,8 @@ LM = f"case when coalesce({t('lastmod')}, '') = '' then '' else left({t('lastmod
 FPS = """fps as (select array_to_string(person_ids, '-') entry_key, cast(image_total as varchar) fingerprint from published_pages),
 core as (select * from (values ('/', 'core:0'), ('/search/', 'core:1'), ('/people/', 'core:2'), ('/about/', 'core:3')) v(entry_key, fingerprint)),
 new as (select * from fps where entry_key not in (select entry_key from core) union all select * from core)"""
-MERGED = f"""{HELD}, {FPS}, prev as (select * from st where snapshot_no = {STATE_SNAPSHOT}),
+BEFORE_LAST = "(select max(snapshot_no) from sitemap_lastmod_state where snapshot_no < (select max(snapshot_no) from sitemap_lastmod_state))"
+MERGED = f"""{HELD}, {FPS}, prev as (select * from st where snapshot_no = {BEFORE_LAST}),
 merged as (select new.entry_key, new.fingerprint, case when prev.fingerprint is null or prev.fingerprint <> new.fingerprint then '{AS_OF}'
   else coalesce(nullif(prev.lastmod, ''), '{AS_OF}') end lastmod from new left join prev on new.entry_key = prev.entry_key)"""
 LOC = "case when entry_key in ('/', '/search/', '/people/', '/about/') then 'https://h.example' || entry_key else 'https://h.example/search/people/' || entry_key || '/' end"
@@ -145,10 +146,6 @@ def _pages(spark, d) -> DataFrame:
     return table(spark, d, "published_pages").select(F.col("person_ids").alias("ids"), "image_total", "canonical_url", "og_image_url")
 
 
-def _state(spark, d) -> DataFrame:
-    return snapshots.snapshot_entries(table(spark, d, "sitemap_lastmod_state"))
-
-
 def _core(spark) -> DataFrame:
     return spark.createDataFrame([(p, f"core:{i}") for i, p in enumerate(CFG.core_paths)], "entry_key string, fingerprint string")
 
@@ -157,17 +154,23 @@ def _new(spark, d) -> DataFrame:
     return pages.fingerprint_union(pages.page_fingerprints(_pages(spark, d)), _core(spark))
 
 
-def _previous(spark, d) -> DataFrame:
-    return _state(spark, d).where(F.col("snapshot_no") == STATE_SNAPSHOT)
+def _previous(spark, d, raw: bool = False) -> DataFrame:
+    """The state before the published pages, which are those of the last snapshot: the last snapshot but one."""
+    rows = table(spark, d, "sitemap_lastmod_state")
+    last = [r[0] for r in rows.select("snapshot_no").where("snapshot_no is not null").distinct().orderBy(F.desc("snapshot_no")).limit(2).collect()]
+    return snapshots.snapshot_entries(rows.where(F.col("snapshot_no") == last[1]) if len(last) > 1 else rows.limit(0), raw=raw)
 
 
 def _merged(spark, d) -> DataFrame:
-    return state.merge_lastmod(_new(spark, d), _previous_raw(spark, d), AS_OF)
+    return state.merge_lastmod(_new(spark, d), _previous(spark, d, raw=True), AS_OF)
 
 
-def _previous_raw(spark, d) -> DataFrame:
-    """The previous state with lastmods as written."""
-    return snapshots.snapshot_entries(table(spark, d, "sitemap_lastmod_state"), raw=True).where(F.col("snapshot_no") == STATE_SNAPSHOT)
+def _documents(spark, d) -> DataFrame:
+    """The shards that hold as state documents (version, entries, urls); a null lastmod is written as '', for a state entry must have one."""
+    held = snapshots.held_shards(table(spark, d, "sitemap_lastmod_state"))
+    whole = F.transform_values("entries", lambda k, v: F.struct(v["fingerprint"].alias("fingerprint"), F.coalesce(v["lastmod"], F.lit("")).alias("lastmod")))
+    first = F.coalesce(F.col("version") == 1, F.lit(False))
+    return held.select("snapshot_no", "version", F.when(~first, whole).alias("entries"), F.when(first, whole).alias("urls"))
 
 
 # --- memberships ---
@@ -222,9 +225,9 @@ def cooc_k3(spark: SparkSession, d: str) -> DataFrame:
     return _flat(cooc.cooccur(_members(spark, d), 3))
 
 
-@query(f"with {COMBOS} select k::bigint k, {SLUG} slug, first_item from combos where k <= 2")
+@query(f"with {COMBOS} select k::bigint k, {SLUG} slug, first_item from combos")
 def cooc_first_item(spark: SparkSession, d: str) -> DataFrame:
-    c = cooc.combinations(_members(spark, d), 2)
+    c = cooc.combinations(_members(spark, d), CFG.max_k)
     return c.select(F.col("k").cast("bigint").alias("k"), labels.slug(F.col("ids")).alias("slug"), "first_item")
 
 
@@ -322,9 +325,9 @@ _REP = f"""{COMBOS}, {NETENT}, faces as (select person_id, {FACE} face from nete
 mf as (select k, ids, image_total, coalesce(face, {img_py('first_item')}) og_image_url from combos left join faces on k = 1 and faces.person_id = ids[1])"""
 
 
-@query(f"with {_REP} select {SLUG} slug, og_image_url from mf where k <= 2")
+@query(f"with {_REP} select {SLUG} slug, og_image_url from mf")
 def rep_image(spark: SparkSession, d: str) -> DataFrame:
-    r = pages.representative_images(cooc.combinations(_members(spark, d), 2), membership.network_people(table(spark, d, "people")), CFG)
+    r = pages.representative_images(cooc.combinations(_members(spark, d), CFG.max_k), membership.network_people(table(spark, d, "people")), CFG)
     return r.select(labels.slug(F.col("ids")).alias("slug"), "og_image_url")
 
 
@@ -337,7 +340,12 @@ def manifest_pages(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {COMBOS} select {SLUG} entry_key, image_total::varchar fingerprint from combos")
 def page_fingerprints(spark: SparkSession, d: str) -> DataFrame:
-    return pages.page_fingerprints(cooc.combinations(_members(spark, d), CFG.max_k))
+    return pages.page_fingerprints(cooc.counts(_members(spark, d), CFG.max_k))
+
+
+@query(f"with {COMBOS} select '{CFG.site_origin}' site_origin, count(*) page_count from combos")
+def manifest_envelope(spark: SparkSession, d: str) -> DataFrame:
+    return pages.manifest_envelope(cooc.counts(_members(spark, d), CFG.max_k), CFG.site_origin)
 
 
 @query(f"with {FPS} select entry_key, fingerprint from new")
@@ -396,37 +404,57 @@ def static_pages(spark: SparkSession, d: str) -> DataFrame:
     return _static(spark, d)
 
 
-_NEW_IMG = "'https://cdn.h.example/images/' || slug || '&x.webp'"
+_NEW_IMG = "(case when og_image_url <> '' then 'https://cdn.h.example/images/' || slug || '&x.webp' end)"
 _NEW_ESC = esc(_NEW_IMG, markup.HTML_REQUEST)
 
 
 def _sql_inject(html: str) -> str:
+    was = html
     for attr, key, v in (("property", "og:image", _NEW_ESC), ("property", "og:image:secure_url", _NEW_ESC), ("name", "twitter:image", _NEW_ESC),
                          ("name", "twitter:card", "'summary_large_image'")):
         pat = rf'<meta\s+{attr}="{key}"\s+content="[^"]*"\s*/?>'
-        html = f"regexp_replace({html}, '{pat}', '<meta {attr}=\"{key}\" content=\"' || {v} || '\" />')"
-    return html
+        tag = f"'<meta {attr}=\"{key}\" content=\"' || {v} || '\" />'"
+        html = (f"(select case when regexp_matches(x, '{pat}') then regexp_replace(x, '{pat}', {tag}) "
+                f"else regexp_replace(x, '</head>', '  ' || {tag} || '\n</head>') end from (select {html} x))")
+    return f"case when {_NEW_IMG} is null then {was} else {html} end"
+
+
+#: Pages of one entity lack two of the tags, those of three have no end of the head either.
+_LACKS = (('property="og:image" ', 'property="og:was" '), ('name="twitter:card"', 'name="twitter:was"'))
+
+
+def _sql_lacking(html: str) -> str:
+    few = html
+    for a, b in _LACKS:
+        few = f"replace({few}, '{a}', '{b}')"
+    return f"case len(ids) when 1 then {few} when 3 then replace({few}, '</head>', '') else {html} end"
 
 
-@query(f"with {LABELS}, hh as (select slug, {_HTML} html from hm) select slug, {_sql_inject('html')} html from hh")
+@query(f"with {LABELS}, h0 as (select slug, ids, og_image_url, {_HTML} html from hm), hh as (select slug, og_image_url, {_sql_lacking('html')} html from h0) "
+       f"select slug, {_sql_inject('html')} html from hh")
 def og_inject(spark: SparkSession, d: str) -> DataFrame:
-    img = F.concat(F.lit("https://cdn.h.example/images/"), F.col("slug"), F.lit("&x.webp"))
-    return markup.inject_image(_static(spark, d), "html", img)
+    """Pages with and without the tags, and pages of no image, which stay as they are."""
+    k = _pages(spark, d).select(labels.slug(F.col("ids")).alias("slug"), F.size("ids").alias("n"), "og_image_url")
+    few = F.col("html")
+    for a, b in _LACKS:
+        few = F.replace(few, F.lit(a), F.lit(b))
+    html = F.when(F.col("n") == 1, few).when(F.col("n") == 3, F.replace(few, F.lit("</head>"), F.lit(""))).otherwise(F.col("html"))
+    given = _static(spark, d).join(k, "slug").select("slug", html.alias("html"), "og_image_url")
+    img = F.when(F.col("og_image_url") != "", F.concat(F.lit("https://cdn.h.example/images/"), F.col("slug"), F.lit("&x.webp")))
+    return markup.inject_image(given, "html", img).drop("og_image_url")
 
 
 # --- state ---
 
 
-@query(f"with {HELD} select snapshot_no, entry_key, fingerprint, lastmod from st where version <> 1")
+@query(f"with {HELD} select snapshot_no, entry_key, fingerprint, coalesce(lastmod, '') lastmod from st where version <> 1")
 def state_read_v2(spark: SparkSession, d: str) -> DataFrame:
-    raw = table(spark, d, "sitemap_lastmod_state")
-    return snapshots.snapshot_entries(raw, raw=True, version=2)
+    return state.read_entries(_documents(spark, d).where("version is null or version <> 1"), ("snapshot_no",))
 
 
-@query(f"with {HELD} select snapshot_no, entry_key, fingerprint, lastmod from st where version = 1")
+@query(f"with {HELD} select snapshot_no, entry_key, fingerprint, coalesce(lastmod, '') lastmod from st where version = 1")
 def state_migrate_v1(spark: SparkSession, d: str) -> DataFrame:
-    raw = table(spark, d, "sitemap_lastmod_state")
-    return snapshots.snapshot_entries(raw, raw=True, version=1)
+    return state.read_entries(_documents(spark, d).where("version = 1"), ("snapshot_no",))
 
 
 @query(f"with {MERGED} select entry_key, fingerprint, lastmod from merged")
@@ -445,11 +473,10 @@ def lastmod_removed(spark: SparkSession, d: str) -> DataFrame:
     return state.removed_keys(_new(spark, d), _previous(spark, d))
 
 
-@query(f"""with {MERGED}, g as (select length(entry_key)::bigint shard, entry_key, fingerprint, lastmod from merged)
+@query(f"""with {MERGED}, g as (select ('0x' || substr(md5(entry_key), 1, 8))::bigint % (select greatest(1, ceil(count(*) / {SHARD_ENTRIES}.0))::bigint from merged) shard, entry_key, fingerprint, lastmod from merged)
 select shard, '{{"version":2,"entries":{{' || string_agg('"' || entry_key || '":{{"fingerprint":"' || fingerprint || '","lastmod":"' || lastmod || '"}}', ',' order by entry_key) || '}}}}' json from g group by 1""")
 def state_write(spark: SparkSession, d: str) -> DataFrame:
-    shards = _merged(spark, d).withColumn("shard", F.length("entry_key").cast("bigint"))
-    return state.state_json(shards, "shard")
+    return state.state_json(state.sharded(_merged(spark, d), SHARD_ENTRIES), "shard")
 
 
 @query(f"select distinct url, {slashed('url')} path from request_log where url is not null")
@@ -474,15 +501,19 @@ def class_filter(spark: SparkSession, d: str) -> DataFrame:
     return directory.of_classes(directory.entities(table(spark, d, "people")), ["named", "unidentified"]).select("person_id", "person_class")
 
 
-_CLASS_CASES = [("a", None), ("b", ""), ("c", " "), ("d", "named,unknown"), ("e", "Unknown, named"), ("f", "ignored,,x"), ("g", "named,named")]
-
-
-@query("""select * from (values ('a', 'named,unknown', null), ('b', '', ''), ('c', '', ''), ('d', 'named,unknown', null), ('e', 'unknown,named', null),
- ('f', 'ignored,x', 'ignored,x'), ('g', 'named,named', 'named,named')) v(id, classes, param)""")
+@query(f"""with {ENT}, c as (select a.person_id, upper(a.person_class) || ', ,' || a.include_in_network || ',' || case when a.include_in_network = 1 then 'named' else 'unknown' end raw from ent a),
+l as (select person_id, case when raw is null then ['named', 'unknown'] else list_filter(list_transform(string_split(lower(raw), ','), lambda x: trim(x)), lambda x: x <> '') end cl from c)
+select person_id, array_to_string(cl, ',') classes, case when list_sort(list_distinct(cl)) = ['named', 'unknown'] and len(cl) = 2 then null else array_to_string(list_sort(cl), ',') end param,
+ 'https://api.h.example/faces?limit=1000&offset=' || (2000)::varchar || case when list_sort(list_distinct(cl)) = ['named', 'unknown'] and len(cl) = 2 then '' else '&classes=' || replace(array_to_string(list_sort(cl), ','), ',', '%2C') end url from l""")
 def class_canonicalise(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame(_CLASS_CASES, "id string, raw string")
+    """Choices of classes made of every entity's fields, in one form, as a parameter and in the address of a directory page."""
+    n, net = F.col("person_class"), F.col("include_in_network")
+    raw = F.concat(F.upper(n), F.lit(", ,"), net.cast("string"), F.lit(","), F.when(net == 1, "named").otherwise("unknown"))
+    rows = directory.entities(table(spark, d, "people")).select("person_id", raw.alias("raw"))
     c = labels.class_list(F.col("raw"), F.col("raw").isNotNull(), list(directory.DEFAULT_CLASSES))
-    return rows.select("id", F.array_join(c, ",").alias("classes"), labels.class_param(c, list(directory.DEFAULT_CLASSES)).alias("param"))
+    param = labels.class_param(c, list(directory.DEFAULT_CLASSES))
+    return rows.select("person_id", F.array_join(c, ",").alias("classes"), param.alias("param"),
+                       urls.directory_url("https://api.h.example/", F.lit(1000), F.lit(2000), param).alias("url"))
 
 
 @query(f"with {_DIR} select person_id, name, image, photo_count from dir order by photo_count desc, person_id limit 1000 offset 100")
@@ -500,13 +531,17 @@ def name_search(spark: SparkSession, d: str) -> DataFrame:
     return _directory(spark, d, "Brá ")
 
 
-_SUBTITLES = [("a", "", 0, 0, 0, True), ("b", "", 0, 0, 0, False), ("c", " ", 5, 5, 9, True), ("d", None, 9, 9, 9, True), ("e", "x", 0, 5, 9, True), ("f", "x", 2, 5, 9, True)]
-
-
-@query("""select * from (values ('a', ''), ('b', '0 people'), ('c', '5 of 9 people'), ('d', '9 people'), ('e', 'No matches'), ('f', '2 of 5 loaded (9 total)')) v(id, subtitle)""")
+@query(f"""with {ENT}, g as (select coalesce(person_class, '') cls, count(*) total, count(best_face_id) loaded, count(*) filter (where {t('name')} like '%bra%') shown from ent group by 1),
+q as (select cls, total, loaded, shown, unnest(['', ' ', 'bra']) q from g)
+select cls, q, case when q = 'bra' then case when shown = 0 then 'No matches' else shown || ' of ' || loaded || ' loaded (' || total || ' total)' end
+ when loaded = 0 and total = 0 then '' when loaded < total then loaded || ' of ' || total || ' people' else total || ' people' end subtitle from q""")
 def directory_subtitle(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame(_SUBTITLES, "id string, q string, shown long, loaded long, total long, classes boolean")
-    return rows.select("id", labels.subtitle(*(F.col(c) for c in ("q", "shown", "loaded", "total", "classes"))).alias("subtitle"))
+    """The line above the entities of each class, without and with a search."""
+    e = directory.entities(table(spark, d, "people"))
+    g = e.groupBy(F.coalesce("person_class", F.lit("")).alias("cls")).agg(
+        F.count(F.lit(1)).alias("total"), F.count("best_face_id").alias("loaded"), F.count(F.when(strip("name").contains("bra"), 1)).alias("shown"))
+    rows = g.select("*", F.explode(F.array(F.lit(""), F.lit(" "), F.lit("bra"))).alias("q"))
+    return rows.select("cls", "q", labels.subtitle(*(F.col(c) for c in ("q", "shown", "loaded", "total")), F.lit(True)).alias("subtitle"))
 
 
 # --- requests ---
@@ -570,6 +605,12 @@ def doc_prefix_first(spark: SparkSession, d: str) -> DataFrame:
     return routing.first_by_prefix(asked, memberships(table(spark, d, "person_eligible_images")))
 
 
+@query(f"""select doc_id, nullif({t("coalesce(nullif(image_name, ''), nullif(source, ''), nullif(lang, ''))")}, '') photo, '{CFG.cdn_base}/atlas/atlas.webp' atlas from documents""")
+def doc_photo(spark: SparkSession, d: str) -> DataFrame:
+    """The photo a row of the document lookup shows, the first of three fields, and the atlas its tile lies in."""
+    return table(spark, d, "documents").select("doc_id", routing.photo_of("image_name", "source", "lang").alias("photo"), urls.atlas_url(CFG.cdn_base).alias("atlas"))
+
+
 @query(f"""with pt as (select distinct {path_of('url')} path from request_log where url is not null)
 select path, case when path = '/' then '/' when path like '/search/%' then '/search/' when path like '/people/%' then '/people/' when path like '/about/%' then '/about/' end link from pt""")
 def nav_longest_prefix(spark: SparkSession, d: str) -> DataFrame:

@@ -40,12 +40,11 @@ def publish(spark: SparkSession, pei: DataFrame, people: DataFrame, core: DataFr
     if entities.isEmpty():
         raise ValueError("no entity is in the network")
     members = membership.network_membership(pei, people)
-    combos = cooc.combinations(members, cfg.max_k)
     if dry_run:
         return cooc.run_summary(members, entities.select("person_id"), cfg.max_k).first().asDict()
 
     previous = materialise(files.read_state(spark, state_path), "previous-state")
-    combos = materialise(combos, "combinations")
+    combos = materialise(cooc.combinations(members, cfg.max_k), "combinations")
     listed = pages.manifest(combos, entities, cfg)
     new = pages.fingerprint_union(pages.page_fingerprints(combos), core)
     merged = materialise(state.merge_lastmod(new, previous, as_of), "merged-state")
@@ -54,8 +53,8 @@ def publish(spark: SparkSession, pei: DataFrame, people: DataFrame, core: DataFr
     rendered = pages.static_pages(listed.withColumnRenamed("person_ids", "ids"), entities, cfg, fragments.nav, fragments.body,
                                   fragments.footer, fragments.disclaimer)
     files.write_pages(rendered, f"{out}/pages")
-    files.write_manifest(listed, f"{out}/manifest")
-    files.write_sitemap(pages.sitemap_entries(locs.select("loc"), locs), f"{out}/sitemap")
+    files.write_manifest(listed, f"{out}/manifest", cfg.site_origin)
+    files.write_sitemap(pages.sitemap_entries(locs.select("loc"), locs), f"{out}/sitemap", f"{cfg.site_origin.rstrip('/')}/sitemap")
     files.write_state(merged, state_path)
     n, generated, entries = entities.count(), combos.count(), merged.count()
     every = sum(math.comb(n, k) for k in range(1, cfg.max_k + 1))

@@ -56,11 +56,31 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     several consumers share one computation with column pruning.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/covista/{name}-{uuid.uuid4().hex}"
+    path = f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_run_folders: dict[str, str] = {}
+
+
+def _run_folder(spark: SparkSession) -> str:
+    """The folder of this application's tables in the shared folder. It is removed when the driver ends, for nobody else reads them."""
+    app = spark.sparkContext.applicationId
+    if app not in _run_folders:
+        _run_folders[app] = f"{shared_dir(spark)}/covista/{app}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(_run_folders[app])
+        atexit.register(_remove, path, spark._jsc.hadoopConfiguration())
+    return _run_folders[app]
+
+
+def _remove(path, conf) -> None:
+    try:
+        path.getFileSystem(conf).delete(path, True)
+    except Exception:  # the JVM may be gone before us; what is left is named by its application
+        pass
+
+
 _shipped: set[str] = set()
 
 
@@ -70,7 +90,9 @@ def ship(spark: SparkSession) -> None:
     if app in _shipped:
         return
     root = Path(__file__).resolve().parent
-    file = Path(tempfile.mkdtemp(prefix="covista-")) / "covista_package.zip"
+    folder = tempfile.mkdtemp(prefix="covista-")  # of the driver alone: addPyFile copies the package to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    file = Path(folder) / "covista_package.zip"
     with zipfile.ZipFile(file, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))

@@ -28,13 +28,21 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def _swap(spark: SparkSession, new: str, path: str) -> None:
-    """Put a finished folder in the place of another; the old one is removed last."""
+    """Put a finished folder in the place of another; the old one is removed last.
+
+    A file system reports a rename that failed by false: the old folder is then put back, and it is an error.
+    """
     target, fs = _fs(spark, path)
-    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.old-{uuid.uuid4().hex}")
+    made, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, f"{path}.old-{uuid.uuid4().hex}"))
     had = fs.exists(target)
-    if had:
-        fs.rename(target, old)
-    fs.rename(spark._jvm.org.apache.hadoop.fs.Path(new), target)
+    if had and not fs.rename(target, old):
+        fs.delete(made, True)
+        raise OSError(f"{path} can't be moved away; it stays as it was")
+    if not fs.rename(made, target):
+        if had:
+            fs.rename(old, target)
+        fs.delete(made, True)
+        raise OSError(f"{path} can't be replaced; it stays as it was")
     if had:
         fs.delete(old, True)
 
@@ -53,8 +61,7 @@ def write_state(entries: DataFrame, path: str, shard_entries: int = STATE_SHARD_
     """Replace the state: written beside it in documents of bounded size, then swapped, so it may be read in the same run."""
     spark = entries.sparkSession
     rows = entries.select("entry_key", "fingerprint", "lastmod")
-    shards = max(1, -(-rows.count() // shard_entries))
-    docs = state.state_json(rows.withColumn("shard", F.pmod(F.xxhash64("entry_key"), F.lit(shards))), "shard")
+    docs = state.state_json(state.sharded(rows, shard_entries), "shard")
     tmp = f"{path}.new-{uuid.uuid4().hex}"
     docs.select(F.col("json").alias("value")).write.text(tmp)
     _swap(spark, tmp, path)
@@ -69,22 +76,47 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("slug string, html string").parquet(path)
 
 
-def write_manifest(m: DataFrame, path: str) -> None:
-    """Manifest pages as JSON lines, null addresses written out."""
-    m.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_manifest(m: DataFrame, path: str, site_origin: str | None = None) -> None:
+    """Manifest pages as JSON lines under ``path``/pages, null addresses written out, and one object (site_origin, page_count) under ``path``/envelope."""
+    m.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/pages")
+    pages.manifest_envelope(m, site_origin).coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/envelope")
+
+
+def read_fragments(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
+    """(fragment, text) of the named files of a folder of templates; a missing one is an error at once."""
+    for n in names:
+        if not exists(spark, f"{folder}/{n}"):
+            raise FileNotFoundError(f"no fragment {n} in {folder}")
+    if not names:
+        return spark.createDataFrame([], "fragment string, text string")
+    return spark.read.text([f"{folder}/{n}" for n in names], wholetext=True).select(
+        F.substring_index(F.input_file_name(), "/", -1).alias("fragment"), F.col("value").alias("text"))
+
+
+#: Addresses of one sitemap file, by the protocol.
+SITEMAP_ENTRIES = 50_000
 
 
-def write_sitemap(entries: DataFrame, path: str) -> None:
-    """Sitemap (loc, entry) as text in order of loc between the opening and closing lines, in one file.
+def write_sitemap(entries: DataFrame, path: str, address: str = "", limit: int = SITEMAP_ENTRIES) -> None:
+    """Sitemap (loc, entry) as text in order of loc: files of at most ``limit`` addresses under ``path``/file=N, and their index beside it, under ``path``-index.
 
-    Partitions are written in order and a closing single-task pass only concatenates lines; beyond the
-    protocol's 50,000 addresses a file, split ``entries`` by range first.
+    Entries are range-partitioned and counted, so none is numbered by a single task; a task
+    writes one file, whose size the protocol bounds. The index has one line a file; address
+    is where the folder will be found. An empty sitemap is one file without addresses.
     """
     spark = entries.sparkSession
-    head = '<?xml version="1.0" encoding="UTF-8"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
-    ends = spark.createDataFrame([(0, "", head), (2, "", "</urlset>")], "part int, loc string, value string")
-    body = entries.select(F.lit(1).alias("part"), "loc", F.col("entry").alias("value"))
-    ends.unionByName(body).orderBy("part", "loc").coalesce(1).select("value").write.mode("overwrite").text(path)
+    ordered = pages.numbered_by(entries.select("loc", "entry"), "loc").select(
+        F.floor(F.col("i") / limit).cast("long").alias("file"), F.lit(1).alias("part"), "loc", F.col("entry").alias("value"))
+    files_ = max(1, -(-entries.count() // limit))
+    # The opening lines of the protocol.
+    head = '<?xml version="1.0" encoding="UTF-8"?>\n<{} xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
+    ends = spark.range(files_).select(F.col("id").alias("file"), F.explode(F.array(
+        F.struct(F.lit(0).alias("part"), F.lit(head.format("urlset")).alias("value")), F.struct(F.lit(2).alias("part"), F.lit("</urlset>").alias("value")))).alias("x"))
+    rows = ordered.unionByName(ends.select("file", "x.part", F.lit("").alias("loc"), "x.value"))
+    rows.repartition(files_, "file").sortWithinPartitions("file", "part", "loc").select("file", "value").write.mode("overwrite").partitionBy("file").text(path)
+    lines = spark.range(files_).select(F.concat(F.lit(f"  <sitemap>\n    <loc>{address}/file="), "id", F.lit("</loc>\n  </sitemap>")).alias("value"), "id")
+    index = spark.createDataFrame([(head.format("sitemapindex"), -1), ("</sitemapindex>", files_)], "value string, id long").unionByName(lines)
+    index.orderBy("id").coalesce(1).select("value").write.mode("overwrite").text(f"{path}-index")
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:

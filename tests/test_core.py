@@ -249,3 +249,34 @@ def test_files(spark, tmp_path):
     assert files.read_pages(spark, str(tmp_path / "out")).orderBy("slug").collect()[0].html == "<html>\n1</html>"
     files.write_sitemap(spark.createDataFrame([("u", "E")], "loc string, entry string"), str(tmp_path / "map"))
     assert [r.value for r in spark.read.text(str(tmp_path / "map")).collect()][-1] == "</urlset>"
+
+
+@pytest.mark.parametrize("k, sets", [(2, 3), (2, 50), (3, 4), (3, 40)])
+def test_items_of_very_many_entities(spark, k, sets):
+    """In blocks as whole, beside items that aren't cut; brute force gives the same sets, counts and first items."""
+    import itertools
+
+    from covista.operators import cooc, graph
+
+    items = {"a": range(14), "b": range(0, 14, 2), "c": range(5, 9), "d": [3], "e": range(12, 14)}
+    m = spark.createDataFrame([(f"p{e:02d}", i) for i, es in items.items() for e in es], "person_id string, image_name string")
+    want = {}
+    for i, es in sorted(items.items()):
+        for s in itertools.combinations([f"p{e:02d}" for e in es], k):
+            n, first = want.get(s, (0, i))
+            want[s] = n + 1, first
+    got = cooc.cooccur(m, k, sets).collect()
+    assert len(got) == len(want) and all(want[tuple(r.ids)] == (r.image_total, r.first_item) for r in got)
+    if k == 2:
+        assert {(r.src, r.dst): r.weight for r in graph.edges(m, sets).collect()} == {s: n for s, (n, _) in want.items()}
+
+
+def test_most_held():
+    import math
+
+    from covista.operators import cooc
+
+    for k in (2, 3, 4):
+        for sets in (1, 10, 12345, 2_000_000):
+            n = cooc.most_held(k, sets)
+            assert math.comb(n, k) <= max(1, sets) < math.comb(n + 1, k)
