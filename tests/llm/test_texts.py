@@ -60,6 +60,13 @@ def test_words():
         "it", "s", "a", "bicycle", "race", "no", "42", "see", "bird"]
 
 
+@pytest.mark.parametrize("text, want", [
+    ("if a <b and c then d> e", "if a b and c then d e"), ("x < y and y > z", "x y and y z"), ('<a href="u" data-x=1 hidden>t</a >', "t"), ("<br/>a<br />b", "a b"),
+    ("<!-- a\nb -->c<!DOCTYPE html>", "c"), ("<input disabled checked>k", "k"), ("<td nowrap class='x y'>k", "k"), ("a <3 b> c", "a 3 b c")])
+def test_markup_and_plain_words(text, want):
+    assert leaks.words(text) == want.split()
+
+
 def _brute(doc, items, least):
     runs = {tuple(doc[i : i + least]) for i in range(len(doc) - least + 1)}
     return {k for k, ws in items if any(tuple(ws[i : i + least]) in runs for i in range(len(ws) - least + 1))}
@@ -85,6 +92,7 @@ def test_leaks_on_tables(spark, data):
     want = sorted(((r.doc_id, k) for r in docs.where("text is not null").collect() for k in _brute(leaks.words(r.text), its, 12)), key=repr)
     assert want and rows(leaks.leaked_items(docs, items)) == want
     assert rows(leaks.leaked_items(docs, items, limit=500)) == want  # several automata
+    assert rows(leaks.leaked_items(docs, items, pass_bytes=10_000)) == want  # several passes
 
 
 def test_leak_edges(spark):
