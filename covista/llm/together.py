@@ -165,6 +165,18 @@ def log_likelihood(c: Column, a: Column, b: Column, n: Column) -> Column:
     return F.lit(2.0) * sum((part(k.cast("double"), e) for k, e in cells[1:]), part(cells[0][0].cast("double"), cells[0][1]))
 
 
+def _blocks_of(live: DataFrame, big: DataFrame, basket_limit: int) -> DataFrame:
+    """(u, v): the pairs of blocks of members of large baskets (k, sz); v is null for a block with itself."""
+    g = F.ceil(F.col("sz") * 2 / basket_limit).cast("int")
+    blocked = live.join(big, "k").select("k", "h", g.alias("g"), F.pmod(F.xxhash64("h", F.lit(7)), g).cast("int").alias("x"))
+    spread = blocked.select("k", "h", "x", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("y")).select(
+        "k", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "h", (F.col("x") > F.col("y")).alias("second"))
+    cut = spread.groupBy("k", "i", "j").agg(
+        F.sort_array(F.collect_list(F.when(~F.col("second"), F.col("h")))).alias("u"),
+        F.sort_array(F.collect_list(F.when(F.col("second"), F.col("h")))).alias("v"))
+    return cut.select("u", F.when(F.col("i") < F.col("j"), F.col("v")).alias("v"))
+
+
 def together(rows: DataFrame, item: str = "person_id", basket: str = "image_name", least: int = 1,
              lift: tuple[int, int] | None = None, basket_limit: int = BASKET_LIMIT, significance: float | None = None) -> DataFrame:
     """(item_a, item_b, shared, size_a, size_b, baskets, ratio, llr) of pairs found together in >= ``least`` baskets.
@@ -180,28 +192,22 @@ def together(rows: DataFrame, item: str = "person_id", basket: str = "image_name
     """
     # written once: sizes, the number of baskets and the baskets themselves come of it
     m = materialise(rows.select(F.xxhash64(item).alias("h"), F.xxhash64(basket).alias("k")).distinct(), "together")
-    n = m.agg(F.count_distinct("k").alias("n")).scalar()
+    baskets = m.groupBy("k").agg(F.count(F.lit(1)).alias("sz"))
+    n, most = baskets.agg(F.count(F.lit(1)), F.coalesce(F.max("sz"), F.lit(0))).first()
     sizes = m.groupBy("h").agg(F.count(F.lit(1)).alias("size"))
     blocks = blocks_for(sizes.count())
-    sizes = sizes.withColumn("n", n)
+    sizes = sizes.withColumn("n", F.lit(n))
     fit = F.col("size") >= least
     if lift:
         fit &= F.col("n").cast("double") * lift[1] >= F.col("size").cast("double") * lift[0] * 0.999999
     live = m.join(sizes.where(fit).select("h"), "h", "left_semi")
-    big = live.groupBy("k").agg(F.count(F.lit(1)).alias("sz")).where(F.col("sz") > basket_limit)
-    small = live.join(big.select("k"), "k", "left_anti").groupBy("k").agg(F.sort_array(F.collect_list("h")).alias("u"))
-    whole = small.where(F.size("u") > 1).select("u", F.lit(None).cast("array<bigint>").alias("v"))
-
-    g = F.ceil(F.col("sz") * 2 / basket_limit).cast("int")
-    blocked = live.join(big, "k").select("k", "h", g.alias("g"), F.pmod(F.xxhash64("h", F.lit(7)), g).cast("int").alias("x"))
-    spread = blocked.select("k", "h", "x", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("y")).select(
-        "k", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "h", (F.col("x") > F.col("y")).alias("second"))
-    cut = spread.groupBy("k", "i", "j").agg(
-        F.sort_array(F.collect_list(F.when(~F.col("second"), F.col("h")))).alias("u"),
-        F.sort_array(F.collect_list(F.when(F.col("second"), F.col("h")))).alias("v"))
-    cut = cut.select("u", F.when(F.col("i") < F.col("j"), F.col("v")).alias("v"))
-
-    stripes = whole.unionByName(cut).mapInArrow(_stripes(blocks), "a long, blk int, nb array<long>, cnt array<long>")
+    big = baskets.where(F.col("sz") > basket_limit)
+    small = live.join(big.select("k"), "k", "left_anti") if most > basket_limit else live
+    work = small.groupBy("k").agg(F.sort_array(F.collect_list("h")).alias("u")).where(F.size("u") > 1).select(
+        "u", F.lit(None).cast("array<bigint>").alias("v"))
+    if most > basket_limit:
+        work = work.unionByName(_blocks_of(live, big, basket_limit))
+    stripes = work.mapInArrow(_stripes(blocks), "a long, blk int, nb array<long>, cnt array<long>")
     pairs = (
         stripes.repartition("a", "blk").sortWithinPartitions("a", "blk")
         .mapInArrow(_merger(least, blocks), "a long, b long, c long")
